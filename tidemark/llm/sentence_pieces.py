@@ -69,7 +69,7 @@ class DoubleArray:
         size = 2 * len(children) + 1024
         self.base, self.check, self.value = [0] * size, [-1] * size, [-1] * size
         self.check[0] = 0
-        free = cursor = 1
+        free = cursor = 256  # every label fits below
         queue = [(0, 0)]
         for node, at in queue:
             self.value[at] = ends[node]
