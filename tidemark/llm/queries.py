@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embedding_dedup, exact_topk, license_scan, line_dedup, near_dup, packing, quality, sentence_pieces, training_order
+from tidemark.llm import embedding_dedup, exact_topk, license_scan, line_dedup, near_dup, packing, quality, sentence_pieces, substring_dedup, training_order
 
 
 OP5_SQL = """
@@ -76,12 +76,16 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_packing, op4_license_scan, op5_embedding_dedup, op6_exact_topk, op7_training_order, op8_sentence_pieces, op10_near_dup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_quality, op3_packing, op4_license_scan, op5_embedding_dedup, op6_exact_topk, op7_training_order, op8_sentence_pieces, op9_substring_dedup, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
