@@ -7,7 +7,7 @@ first occurrence is earlier, by (doc_id, line number). Blank lines always stay.
 
 How: equal lines are aggregated to their first occurrence by a 128-bit fingerprint. If one edit separates two
 lines, the half of the shorter one that the edit spares is a prefix or suffix of both, so only lines that share
-such a half with another can have a partner. Those emit their deletion variants as hashed keys: for each word the
+such a half with another can have a partner, and only by an edit beyond that half. Those emit their deletion variants as hashed keys: for each word the
 line without it (with its place and the word count: equal keys differ in that word at most), and the whole line
 to meet longer ones. Keys are aggregated to the earliest member, which each other member is verified against
 word by word, so no pairs within a group are made, and a group of any size costs its own length. Variants are
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, skewed_lookup
+from tidemark.llm.common import cut, salted_lookup, skewed_lookup
 
 MIN_WORDS = 5
 
@@ -36,77 +36,106 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def _halves(min_words: int) -> Column:
-    """Keys of the halves: for the shorter line's length m (ours or one less), its first m div 2 words and its last m - m div 2."""
-    m = lambda k: F.col("n_words") - k
-    h = lambda k: F.floor(m(k) / 2).cast("int")
+def _coarse(min_words: int) -> Column:
+    """Keys of as many first and last words as the largest power of two within half the shorter line, for our length and one less."""
     keys = []
     for k in (0, 1):
-        first = F.xxhash64(F.lit("first"), m(k), F.slice("words", F.lit(1), h(k)))
-        last = F.xxhash64(F.lit("last"), m(k), F.slice("words", F.col("n_words") - m(k) + h(k) + 1, m(k) - h(k)))
-        keys += [F.when(m(k) >= min_words, x) for x in (first, last)]
-    return F.array(*keys)
+        m, h = F.col("n_words") - k, F.expr(f"int(power(2, floor(log2(greatest((n_words - {k}) div 2, 1)))))")
+        for end, part in (("first", F.slice("words", F.lit(1), h)), ("last", F.slice("words", -h, h))):
+            keys.append(F.when(m >= min_words, F.xxhash64(F.lit(end), h, part)))
+    return F.array_distinct(F.array_compact(F.array(*keys)))
 
 
-def _near(first: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
-    """(a, b) of distinct lines that have an earlier copy by one edit."""
-    keyed = first.select("a", "b", F.explode("halves").alias("key")).where("key is not null")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("lo"), F.max("a").alias("hi")).where("n > 1 and lo <> hi").select("key", "n")
-    alive = skewed_lookup(keyed, shared, "key", F.col("a"), "inner").groupBy("a", "b").agg(F.lit(1).alias("one"))
-    picked = first.select("a", "b", "at").join(alive, ["a", "b"]).select("a", "b", "at")
-    wanted = picked.groupBy(F.col("at.rid").alias("rid"), F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "a", "b")).alias("take"))
-    texts = (
-        docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), "text").alias("d")
-        .join(wanted.alias("w"), F.col("d.rid").eqNullSafe(F.col("w.rid")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-        .select("d.doc_id", "d.rid", F.split("d.text", "\n").alias("lines"), F.explode("w.take").alias("t"))
-        .select(F.col("t.a").alias("a"), F.col("t.b").alias("b"), F.struct("doc_id", "rid", F.col("t.line_no").alias("line_no")).alias("at"), F.split(_normal(F.element_at("lines", F.col("t.line_no") + 1)), " ").alias("words"))
-        .dropDuplicates(["a", "b"])
+#: Bits of what a line shares: with a line as long its first or last half (1, 2); as the longer one (4, 8); as the shorter one (16).
+_FIRST, _LAST, _LONG_FIRST, _LONG_LAST, _SHORT = 1, 2, 4, 8, 16
+
+
+def _fine(min_words: int) -> Column:
+    """(key, role, bit) of the exact halves: for the shorter line's length m (ours: role 0, one less: role 1), its first m div 2 words and its last m - m div 2."""
+    keys = []
+    for k in (0, 1):
+        m, h = F.col("n_words") - k, F.expr(f"int((n_words - {k}) div 2)")
+        first = F.xxhash64(F.lit("first"), m, F.slice("words", F.lit(1), h))
+        last = F.xxhash64(F.lit("last"), m, F.slice("words", F.col("n_words") - m + h + 1, m - h))
+        for bit, x in ((_FIRST << 2 * k, first), (_LAST << 2 * k, last)):
+            keys.append(F.when(m >= min_words, F.struct(x.alias("key"), F.lit(k).alias("role"), F.lit(bit).alias("bit"))))
+    return F.array_compact(F.array(*keys))
+
+
+#: Documents with candidate lines up to which their list is broadcast (under 50 MB); beyond, texts are shuffled to it.
+BROADCAST_DOCS = 400_000
+
+
+def _candidates(first: DataFrame, docs: DataFrame) -> DataFrame:
+    """(at, words) of the lines that share a coarse half with another."""
+    keyed = first.select(F.col("a"), "b", F.explode("halves").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi").select("key", "n")
+    alive = skewed_lookup(keyed, shared, "key", F.col("a"), "left_semi").select("a", "b").distinct()
+    picked = first.select("a", "b", "at").join(alive, ["a", "b"], "left_semi")
+    wanted = cut(picked.groupBy(F.col("at.rid").alias("rid"), F.col("at.doc_id").alias("doc_id")).agg(F.collect_list("at.line_no").alias("take")))
+    small = wanted.count() <= BROADCAST_DOCS
+    d, w = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), "text").alias("d"), (F.broadcast(wanted) if small else wanted).alias("w")
+    return (
+        d.join(w, F.col("d.rid").eqNullSafe(F.col("w.rid")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
+        .select("d.doc_id", "d.rid", F.split("d.text", "\n").alias("lines"), F.explode("w.take").alias("line_no"))
+        .select(F.struct("doc_id", "rid", "line_no").alias("at"), F.split(_normal(F.element_at("lines", F.col("line_no") + 1)), " ").alias("words"))
+        .dropDuplicates(["at"])
+        .withColumn("n_words", F.size("words"))
     )
-    # (key, kind, place) of the variants; kind 0: one word replaced, 1: a word too many, 2: the whole line
-    z = F.transform("words", lambda w, i: F.xxhash64(w, i))
-    replaced = F.transform("z", lambda x, i: F.struct(F.xxhash64(F.lit(0), F.col("n_words"), i, F.col("x").bitwiseXOR(x)).alias("key"), F.lit(0).alias("kind"), i.alias("place")))
+
+
+def _near(first: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
+    """(at) of distinct lines that have an earlier copy by one edit."""
+    found = cut(_candidates(first, docs))
+    halves = found.select("at", F.explode(_fine(min_words)).alias("k")).select("at", "k.*")
+    when = lambda c: F.when(F.col("role") == 0, c)
+    shared = halves.groupBy("key").agg(F.count("*").alias("n"), (F.min(when(F.col("at"))) < F.max(when(F.col("at")))).alias("equal"), (F.max("role") > F.min("role")).alias("unequal")).where("equal or unequal")
+    bits = F.when(F.col("role") == 0, F.when(F.col("equal"), F.col("bit")).otherwise(0).bitwiseOR(F.when(F.col("unequal"), _SHORT).otherwise(0))).otherwise(F.when(F.col("unequal"), F.col("bit")).otherwise(0))
+    held = skewed_lookup(halves, shared, "key", F.xxhash64("at")).groupBy("at").agg(F.bit_or(bits).alias("bits")).where("bits > 0")
+    lines = cut(found.join(held, "at").select("at", "words", "n_words", "bits"))
     xor = lambda acc, x: acc.bitwiseXOR(x)
     zero = F.lit(0).cast("long")
+    has = lambda bit: F.col("bits").bitwiseAND(bit) > 0
+    variant = lambda key, kind, place: F.struct(key.alias("key"), F.lit(kind).alias("kind"), place.cast("int").alias("place"))
+    none = F.array().cast("array<struct<key:bigint,kind:int,place:int>>")
+    half = lambda k: F.expr(f"(n_words - {k}) div 2")
     hashed = (
-        texts.withColumn("n_words", F.size("words"))
-        .withColumn("z", z)
+        lines.withColumn("z", F.transform("words", lambda w, i: F.xxhash64(w, i)))
         .withColumn("x", F.aggregate("z", zero, xor))
         # the line without word 0, then by steps from the line without word i to that without word i + 1
-        .withColumn("shifted", F.transform("words", lambda w, i: F.xxhash64(w, i - 1)))
+        .withColumn("shifted", F.when(has(_LONG_FIRST | _LONG_LAST), F.transform("words", lambda w, i: F.xxhash64(w, i - 1))))
         .withColumn("without_first", F.aggregate(F.expr("slice(shifted, 2, n_words)"), zero, xor))
         .withColumn("steps", F.zip_with(F.expr("slice(shifted, 2, n_words)"), F.expr("slice(z, 1, n_words - 1)"), lambda s, y: s.bitwiseXOR(y)))
         .withColumn("without", F.aggregate("steps", F.array("without_first"), lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1).bitwiseXOR(s)))))
     )
-    whole = F.array(F.struct(F.xxhash64(F.lit(1), F.col("n_words"), F.col("x")).alias("key"), F.lit(2).alias("kind"), F.lit(-1).alias("place")))
-    longer = F.when(
-        F.col("n_words") > min_words,
-        F.transform("without", lambda x, i: F.struct(F.xxhash64(F.lit(1), F.col("n_words") - 1, x).alias("key"), F.lit(1).alias("kind"), i.alias("place"))),
-    ).otherwise(F.array().cast("array<struct<key:bigint,kind:int,place:int>>"))
-    lines = cut(hashed.select("a", "b", "at", "words", F.concat(replaced, longer, whole).alias("variants")))
-    variants = lines.select("a", "b", "at", F.explode("variants").alias("v")).select("a", "b", "at", "v.key", "v.kind", "v.place")
+    # kind 0: one word replaced, 1: a word too many, 2: the whole line; only where the half that is shared leaves room
+    replaced = F.filter(F.transform("z", lambda x, i: variant(F.xxhash64(F.lit(0), F.col("n_words"), i, F.col("x").bitwiseXOR(x)), 0, i)), lambda v: (has(_FIRST) & (v["place"] >= half(0))) | (has(_LAST) & (v["place"] < half(0))))
+    longer = F.filter(
+        F.coalesce(F.transform("without", lambda x, i: variant(F.xxhash64(F.lit(1), F.col("n_words") - 1, x), 1, i)), none),
+        lambda v: (has(_LONG_FIRST) & (v["place"] >= half(1))) | (has(_LONG_LAST) & (v["place"] <= half(1))),
+    )
+    whole = F.when(has(_SHORT), F.array(variant(F.xxhash64(F.lit(1), F.col("n_words"), F.col("x")), 2, F.lit(-1)))).otherwise(none)
+    variants = hashed.select("at", F.explode(F.concat(replaced, longer, whole)).alias("v")).select("at", "v.key", "v.kind", "v.place")
     # the earliest of each side; a replaced word compares with any member, a longer line with the whole one only
-    side = lambda k: F.min(F.when(F.col("kind") == k, F.struct("at", "a", "b", "place")))
+    side = lambda k: F.min(F.when(F.col("kind") == k, F.struct("at", "place")))
     groups = variants.groupBy("key").agg(F.count("*").alias("n"), side(0).alias("r"), side(1).alias("l"), side(2).alias("w")).where("n > 1 and (l is null or w is not null)")
-    met = skewed_lookup(variants, groups, "key", F.col("a"), "inner")
     other = F.when(F.col("kind") == 0, F.col("r")).when(F.col("kind") == 1, F.col("w")).otherwise(F.col("l"))
     claims = (
-        met.withColumn("o", other)
-        .where("o is not null and o.at < at and not (o.a = a and o.b = b)")
-        .select("a", "b", F.col("o.a").alias("oa"), F.col("o.b").alias("ob"), "kind", F.when(F.col("kind") == 2, F.col("o.place")).otherwise(F.col("place")).alias("place"))
+        skewed_lookup(variants, groups, "key", F.xxhash64("at"))
+        .withColumn("o", other)
+        .where("o is not null and o.at < at")
+        .select("at", F.col("o.at").alias("oat"), "kind", F.when(F.col("kind") == 2, F.col("o.place")).otherwise(F.col("place")).alias("place"))
         .distinct()
     )
-    text = lines.select("a", "b", "words")
-    mine = claims.join(text, ["a", "b"])
-    theirs = text.select(F.col("a").alias("oa"), F.col("b").alias("ob"), F.col("words").alias("owords"))
+    text = lines.select("at", "words")
     lacking = lambda w: F.filter(w, lambda x, i: i != F.col("place"))
     equal = (
         F.when(F.col("kind") == 0, lacking("words") == lacking("owords"))
         .when(F.col("kind") == 1, lacking("words") == F.col("owords"))
         .otherwise(F.col("words") == lacking("owords"))
     )
-    salt = F.pmod(F.xxhash64("a", "b"), F.lit(16)).cast("int")
-    pairs = mine.withColumn("_salt", salt).join(theirs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15)))), ["oa", "ob", "_salt"])
-    return pairs.where(equal).select("a", "b").distinct()
+    pairs = salted_lookup(claims.join(text, "at"), text.select(F.col("at").alias("oat"), F.col("words").alias("owords")), ["oat"], F.xxhash64("at"), "inner", salts=8)
+    return pairs.where(equal).select("at").distinct()
 
 
 def decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -115,16 +144,17 @@ def decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     numbered = (
         lines.withColumn("words", F.split("norm", " "))
         .withColumn("n_words", F.size("words"))
+        .withColumn("h", _coarse(min_words))
         .select(
             F.xxhash64("norm").alias("a"),
             F.xxhash64(F.lit(0x5DEECE66D), "norm").alias("b"),
             F.struct("doc_id", "rid", "line_no").alias("at"),
-            *[_halves(min_words)[i].alias(f"h{i}") for i in range(4)],
+            *[F.get("h", F.lit(i)).alias(f"h{i}") for i in range(4)],
         )
     )
     first = numbered.groupBy("a", "b").agg(F.min("at").alias("at"), *[F.min(f"h{i}").alias(f"h{i}") for i in range(4)])
-    first = cut(first.select("a", "b", "at", F.array(*[f"h{i}" for i in range(4)]).alias("halves")))
-    stay = first.select("a", "b", "at").join(_near(first, docs, min_words), ["a", "b"], "left_anti")
+    first = cut(first.select("a", "b", "at", F.array_compact(F.array(*[f"h{i}" for i in range(4)])).alias("halves")))
+    stay = first.select("at").join(_near(first, docs, min_words), "at", "left_anti")
     return stay.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.rid").alias("rid")).agg(F.collect_list("at.line_no").alias("kept"))
 
 
