@@ -1,0 +1 @@
+"""Tidemark: a change-data lakehouse engine on Spark DataFrames."""
