@@ -72,9 +72,9 @@ def array_literal(text: str | None) -> list | None:
     return None if inside else out
 
 
-@F.pandas_udf("array<string>")
-def _elements(text):
-    return text.map(lambda t: None if t is None else array_literal(t))
+def _elements(text: Column) -> Column:
+    of = F.pandas_udf(lambda s: s.map(lambda t: None if t is None else array_literal(t)), T.ArrayType(T.StringType()), F.PandasUDFType.SCALAR)
+    return of(text)
 
 
 def decode_text(value: Column, kind: str) -> Column:
