@@ -67,32 +67,31 @@ BROADCAST_DOCS = 400_000
 
 
 def _candidates(first: DataFrame, docs: DataFrame) -> DataFrame:
-    """(at, words) of the lines that share a coarse half with another."""
-    keyed = first.select(F.col("a"), "b", F.explode("halves").alias("key"))
+    """(at, norm) of the lines that share a coarse half with another."""
+    keyed = first.select("a", F.explode("halves").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi").select("key", "n")
-    alive = skewed_lookup(keyed, shared, "key", F.col("a"), "left_semi").select("a", "b").distinct()
-    picked = first.select("a", "b", "at").join(alive, ["a", "b"], "left_semi")
+    alive = skewed_lookup(keyed, shared, "key", F.col("a"), "left_semi").select("a").distinct()
+    picked = first.select("a", "at").join(alive, "a", "left_semi")
     wanted = cut(picked.groupBy(F.col("at.rid").alias("rid"), F.col("at.doc_id").alias("doc_id")).agg(F.collect_list("at.line_no").alias("take")))
     small = wanted.count() <= BROADCAST_DOCS
     d, w = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), "text").alias("d"), (F.broadcast(wanted) if small else wanted).alias("w")
     return (
         d.join(w, F.col("d.rid").eqNullSafe(F.col("w.rid")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
         .select("d.doc_id", "d.rid", F.split("d.text", "\n").alias("lines"), F.explode("w.take").alias("line_no"))
-        .select(F.struct("doc_id", "rid", "line_no").alias("at"), F.split(_normal(F.element_at("lines", F.col("line_no") + 1)), " ").alias("words"))
-        .dropDuplicates(["at"])
-        .withColumn("n_words", F.size("words"))
+        .select(F.struct("doc_id", "rid", "line_no").alias("at"), _normal(F.element_at("lines", F.col("line_no") + 1)).alias("norm"))
     )
 
 
 def _near(first: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
     """(at) of distinct lines that have an earlier copy by one edit."""
     found = cut(_candidates(first, docs))
-    halves = found.select("at", F.explode(_fine(min_words)).alias("k")).select("at", "k.*")
+    split = lambda df: df.withColumn("words", F.split("norm", " ")).withColumn("n_words", F.size("words"))
+    halves = split(found).select("at", F.explode(_fine(min_words)).alias("k")).select("at", "k.*")
     when = lambda c: F.when(F.col("role") == 0, c)
     shared = halves.groupBy("key").agg(F.count("*").alias("n"), (F.min(when(F.col("at"))) < F.max(when(F.col("at")))).alias("equal"), (F.max("role") > F.min("role")).alias("unequal")).where("equal or unequal")
     bits = F.when(F.col("role") == 0, F.when(F.col("equal"), F.col("bit")).otherwise(0).bitwiseOR(F.when(F.col("unequal"), _SHORT).otherwise(0))).otherwise(F.when(F.col("unequal"), F.col("bit")).otherwise(0))
     held = skewed_lookup(halves, shared, "key", F.xxhash64("at")).groupBy("at").agg(F.bit_or(bits).alias("bits")).where("bits > 0")
-    lines = cut(found.join(held, "at").select("at", "words", "n_words", "bits"))
+    lines = split(cut(found.join(held, "at").select("at", "norm", "bits")))
     xor = lambda acc, x: acc.bitwiseXOR(x)
     zero = F.lit(0).cast("long")
     has = lambda bit: F.col("bits").bitwiseAND(bit) > 0
@@ -127,14 +126,15 @@ def _near(first: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
         .select("at", F.col("o.at").alias("oat"), "kind", F.when(F.col("kind") == 2, F.col("o.place")).otherwise(F.col("place")).alias("place"))
         .distinct()
     )
-    text = lines.select("at", "words")
+    text = lines.select("at", "norm").distinct()
     lacking = lambda w: F.filter(w, lambda x, i: i != F.col("place"))
     equal = (
         F.when(F.col("kind") == 0, lacking("words") == lacking("owords"))
         .when(F.col("kind") == 1, lacking("words") == F.col("owords"))
         .otherwise(F.col("words") == lacking("owords"))
     )
-    pairs = salted_lookup(claims.join(text, "at"), text.select(F.col("at").alias("oat"), F.col("words").alias("owords")), ["oat"], F.xxhash64("at"), "inner", salts=8)
+    pairs = salted_lookup(claims.join(text, "at"), text.select(F.col("at").alias("oat"), F.col("norm").alias("onorm")), ["oat"], F.xxhash64("at"), "inner", salts=8)
+    pairs = pairs.withColumn("words", F.split("norm", " ")).withColumn("owords", F.split("onorm", " "))
     return pairs.where(equal).select("at").distinct()
 
 
@@ -153,9 +153,12 @@ def decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         )
     )
     first = numbered.groupBy("a", "b").agg(F.min("at").alias("at"), *[F.min(f"h{i}").alias(f"h{i}") for i in range(4)])
-    first = cut(first.select("a", "b", "at", F.array_compact(F.array(*[f"h{i}" for i in range(4)])).alias("halves")))
-    stay = first.select("at").join(_near(first, docs, min_words), "at", "left_anti")
-    return stay.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.rid").alias("rid")).agg(F.collect_list("at.line_no").alias("kept"))
+    first = cut(first.select("a", "at", F.array_compact(F.array(*[f"h{i}" for i in range(4)])).alias("halves")))
+    gone = _near(first, docs, min_words).select("at.doc_id", "at.rid", "at.line_no", F.lit(True).alias("gone"))
+    every = first.select("at.doc_id", "at.rid", "at.line_no", F.lit(False).alias("gone")).unionByName(gone)
+    numbers = lambda c: F.collect_list(F.when(c, F.col("line_no")))
+    of_doc = every.groupBy("doc_id", "rid").agg(numbers(~F.col("gone")).alias("all"), numbers(F.col("gone")).alias("gone"))
+    return of_doc.select("doc_id", "rid", F.array_except("all", "gone").alias("kept")).where(F.size("kept") > 0)
 
 
 def _with_kept(docs: DataFrame, min_words: int) -> DataFrame:
