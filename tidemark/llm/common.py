@@ -93,13 +93,14 @@ def components(edges: DataFrame, salts: int = 32) -> DataFrame:
 def skewed_lookup(left: DataFrame, right: DataFrame, key: str, by: Column, how: str = "inner", salts: int = 64) -> DataFrame:
     """``left`` joined with ``right``, whose ``key`` is unique and whose column ``n`` counts the rows of ``left`` with it.
 
-    Keys with over 1/1024 of those rows (so under 1024 keys, which bounds what is broadcast) are dealt to
+    Keys with over 1/1024 of those rows (so under 1024 keys, which bounds what the driver gets) are dealt to
     ``salts`` tasks by a hash of ``by``; all others are joined as they are.
     """
     right = cut(right)
     total = right.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(right.where(F.col("n") > max(2048, total // 1024)).select(F.col(key), F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(0).cast("int")
-    lhs = left.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
-    spread = F.when(F.col("n") > max(2048, total // 1024), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return lhs.join(right.withColumn("_salt", F.explode(spread)).drop("n"), [key, "_salt"], how).drop("_salt")
+    hot = [r[0] for r in right.where(F.col("n") > max(2048, total // 1024)).select(key).collect()]
+    if not hot:
+        return left.join(right.drop("n"), key, how)
+    salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(0).cast("int")
+    spread = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return left.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(spread)).drop("n"), [key, "_salt"], how).drop("_salt")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import salted_lookup, ship, shuffle_width, skewed_lookup
+from tidemark.llm.common import cut, salted_lookup, ship, shuffle_width, skewed_lookup
 
 LENGTH = 200
 GRAM = 32
@@ -179,18 +179,22 @@ def reach(lefts: list[bytes], rights: list[bytes], known: int, length: int = LEN
         return [(le, r)] * 2 if le + r >= length else [(0, 0)] * 2
     out = [(0, 0)] * n
     order, lcps = deep_shallow(rights, known)
+    by_left = sorted(range(n), key=lefts.__getitem__)
+    rank = [0] * n
+    for j, i in enumerate(by_left):
+        rank[i] = j
     stack = [(0, n)]
     while stack:
         a, b = stack.pop()
         r = min(lcps[a + 1 : b])
-        members = order[a:b]
         # the longest common left side of each member within the node: that with a neighbour in left order
-        by_left, shared = deep_shallow([lefts[i] for i in members])
-        shared.append(0)
-        for j, x in enumerate(by_left):
-            le = max(shared[j], shared[j + 1])
+        members = sorted(order[a:b], key=rank.__getitem__)
+        before = 0
+        for j, i in enumerate(members):
+            after = common(lefts[i], lefts[members[j + 1]]) if j + 1 < len(members) else 0
+            le = max(before, after)
+            before = after
             if le + r >= length:
-                i = members[x]
                 out[i] = (max(out[i][0], le), max(out[i][1], r))
         if r >= length:
             continue
@@ -204,21 +208,69 @@ def reach(lefts: list[bytes], rights: list[bytes], known: int, length: int = LEN
 
 
 def _solve(rows: list[tuple], hot: bool):
-    """Covered intervals (ra, rb, start, end), and the unmatched windows (digest, ra, rb, start) of a hot gram's block."""
+    """Covered intervals (ra, rb, start, end), and the unmatched windows (digest, ra, rb, start) of a hot gram's block.
+
+    Members whose contexts are equal all through match each other as far as these reach; one stands for them.
+    """
     covered, windows = [], []
-    found = reach([r[3] for r in rows], [r[4] for r in rows], GRAM) if len(rows) > 1 else [(0, 0)]
-    for (ra, rb, pos, left, right), (le, r) in zip(rows, found):
-        if r:
-            covered.append((ra, rb, pos - le, pos + r))
+    alike: dict[tuple, list] = {}
+    for ra, rb, pos, left, right in rows:
+        alike.setdefault((left, right), []).append((ra, rb, pos))
+    sides = list(alike)
+    found = reach([x[0] for x in sides], [x[1] for x in sides], GRAM) if len(sides) > 1 else [(0, 0)]
+    for (left, right), (le, r) in zip(sides, found):
+        members = alike[left, right]
+        if len(members) > 1 and len(left) + len(right) >= LENGTH:
+            le, r = len(left), len(right)
+        for ra, rb, pos in members:
+            if r:
+                covered.append((ra, rb, pos - le, pos + r))
         if hot:
             text = left[::-1] + right
             at = len(left)
             for o in range(max(0, LENGTH - len(right)), min(len(left), LENGTH - GRAM) + 1):
                 if not (r and LENGTH - r <= o <= le):
-                    windows.append((hashlib.blake2b(text[at - o : at - o + LENGTH], digest_size=16).digest(), ra, rb, pos - o))
+                    digest = hashlib.blake2b(text[at - o : at - o + LENGTH], digest_size=16).digest()
+                    windows.extend((digest, ra, rb, pos - o) for ra, rb, pos in members)
     return covered, windows
 
 
+def _grams(texts, fa: np.ndarray, ra: np.ndarray):
+    """A row for each gram of each text: (gram, ra, places as 32-bit bytes, least and greatest mark of text and place)."""
+    grams, owners, places, starts, low, high, at = [], [], [], [], [], [], 0
+    for i, t in enumerate(texts):
+        pos, h = anchors(np.frombuffer(t.as_buffer(), np.uint8))
+        if len(h):
+            order = np.argsort(h, kind="stable")
+            pos, h = pos[order], h[order]
+            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            with np.errstate(over="ignore"):
+                mark = rolling.mix(np.uint64(int(fa[i]) & (2**64 - 1)) + pos.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+            grams.append(h[first].view(np.int64))
+            owners.append(np.full(len(first), ra[i]))
+            places.append(pos.astype("<i4"))
+            starts.append(first + at)
+            low.append(np.minimum.reduceat(mark, first))
+            high.append(np.maximum.reduceat(mark, first))
+            at += len(pos)
+    if not grams:
+        return None
+    offsets = np.concatenate([*starts, [at]]).astype(np.int32) * 4
+    packed = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.concatenate(places).tobytes())])
+    cols = [pa.array(np.concatenate(grams)), pa.array(np.concatenate(owners)), packed, pa.array(np.concatenate(low)), pa.array(np.concatenate(high))]
+    return pa.RecordBatch.from_arrays(cols, names=["gram", "ra", "places", "lo", "hi"])
+
+
+def _merge(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for start, stop in sorted(intervals):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(stop, out[-1][1]))
+        else:
+            out.append((start, stop))
+    return out
+
+
 def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(texts, spans): the documents dealt by their row's fingerprint (ra, rb), and (ra, rb, start, stop) of covered bytes."""
     spark = docs.sparkSession
@@ -234,35 +286,40 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def emit(batches):
         for b in batches:
-            fa, ra = b.column("fa").to_numpy(), b.column("ra").to_numpy()
-            grams, places, owners, same = [], [], [], []
-            for i, t in enumerate(b.column("text").cast(pa.binary())):
-                at, h = anchors(np.frombuffer(t.as_buffer(), np.uint8))
-                grams.append(h.view(np.int64))
-                places.append(at)
-                owners.append(np.full(len(at), ra[i]))
-                with np.errstate(over="ignore"):
-                    same.append(rolling.mix(np.uint64(int(fa[i]) & (2**64 - 1)) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
-                if sum(map(len, grams[-64:])) > 100_000 or i + 1 == b.num_rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (grams, owners, places, same)], names=["gram", "ra", "pos", "occurrence"])
-                    grams, places, owners, same = [], [], [], []
-
-    found = row.where(F.octet_length("text") >= LENGTH).select("ra", F.xxhash64("text").alias("fa"), "text").mapInArrow(emit, "gram long, ra long, pos long, occurrence long")
-    repeated = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("occurrence").alias("lo"), F.max("occurrence").alias("hi")).where("lo <> hi").select("gram", "n", F.col("n").alias("times"))
-    live = skewed_lookup(found.select("gram", "ra", "pos"), repeated, "gram", F.col("ra"))
+            texts = b.column("text").cast(pa.binary())
+            for s in range(0, b.num_rows, 500):
+                part = _grams(texts[s : s + 500], b.column("fa").to_numpy()[s : s + 500], b.column("ra").to_numpy()[s : s + 500])
+                if part is not None:
+                    yield part
+
+    found = row.where(F.octet_length("text") >= LENGTH).select("ra", F.xxhash64("text").alias("fa"), "text").mapInArrow(emit, "gram long, ra long, places binary, lo long, hi long")
+    repeated = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("gram", "n")
+    live = skewed_lookup(found.select("gram", "ra", "places"), repeated, "gram", F.col("ra"))
     ones = texts.select(F.col("one.ra").alias("ra")).distinct()
-    wanted = live.join(ones, "ra", "left_semi").groupBy("ra").agg(F.collect_set(F.struct("pos", "gram", "times")).alias("at"))
+    live = cut(live.join(ones, "ra", "left_semi"))
+    frequent = live.groupBy("gram").agg(F.count("*").alias("times")).where(F.col("times") > BLOCK)
+    wanted = live.join(frequent, "gram", "left").groupBy("ra").agg(F.collect_list(F.struct("gram", "places", "times")).alias("at"))
 
     def contexts(batches):
-        names = ["gram", "block", "ra", "rb", "pos", "prior", "after", "hot"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
+        """Contexts to compare (one of equal ones within a text), and what a text repeats within itself (no gram)."""
+        names = ["gram", "block", "ra", "rb", "pos", "stop", "prior", "after", "hot"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
         for b in batches:
             out = []
             for ra, rb, t, at in zip(b.column("ra").to_pylist(), b.column("rb").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), b.column("at").to_pylist()):
+                own = []
                 for x in at:
-                    p = x["pos"]
-                    blocks = -(-x["times"] // BLOCK)
-                    out.append((x["gram"], (ra ^ (p * 0x9E3779B1)) % blocks, ra, rb, p, t[max(0, p - SPAN + 1) : p][::-1], t[p : p + LENGTH], blocks > 1))
+                    blocks = -(-x["times"] // BLOCK) if x["times"] else 1
+                    seen: dict[tuple, int] = {}
+                    for p in np.frombuffer(x["places"], "<i4").tolist():
+                        left, right = t[max(0, p - SPAN + 1) : p][::-1], t[p : p + LENGTH]
+                        if (left, right) in seen:
+                            if len(left) + len(right) >= LENGTH:
+                                own += [(q - len(left), q + len(right)) for q in (p, seen[left, right])]
+                        else:
+                            seen[left, right] = p
+                            out.append((x["gram"], ra % blocks, ra, rb, p, 0, left, right, blocks > 1))
+                out.extend((None, ra % 1024, ra, rb, start, stop, None, None, False) for start, stop in _merge(own))
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
                     out = []
@@ -273,7 +330,7 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         dealt.select("ra", "rb", "doc_id", "text")
         .join(wanted, "ra")
         .select("ra", "rb", "text", "at")
-        .mapInArrow(contexts, "gram long, block int, ra long, rb long, pos long, prior binary, after binary, hot boolean")
+        .mapInArrow(contexts, "gram long, block int, ra long, rb long, pos long, stop long, prior binary, after binary, hot boolean")
         .repartition(width, "gram", "block")
         .sortWithinPartitions("gram", "block")
     )
@@ -294,8 +351,13 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             return done
 
         for b in batches:
-            cols = [b.column(n).to_pylist() for n in ("gram", "block", "ra", "rb", "pos", "prior", "after", "hot")]
-            for gram, block, *rest, now_hot in zip(*cols):
+            cols = [b.column(n).to_pylist() for n in ("stop", "gram", "block", "ra", "rb", "pos", "prior", "after", "hot")]
+            for stop, gram, block, *rest, now_hot in zip(*cols):
+                if gram is None:
+                    out.append((None, rest[0], rest[1], rest[2], stop, None))
+                    if len(out) > 20_000:
+                        yield batch()
+                    continue
                 if (gram, block) != key:
                     close()
                     if len(out) > 20_000:
@@ -307,16 +369,15 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield batch()
 
     solved = around.mapInArrow(solve, "digest binary, ra long, rb long, start long, stop long, gram long")
-    near = solved.where("digest is null").select("ra", "rb", "start", "stop")
-    across = (
-        solved.where("digest is not null")
-        .groupBy("gram", "digest")
+    # one pass: covered intervals gather by text, unmatched windows by their hash, of which lone ones go
+    gathered = (
+        solved.groupBy("gram", "digest", F.when(F.col("digest").isNull(), F.col("ra")).alias("own"))
         .agg(F.collect_list(F.struct("ra", "rb", "start", "stop")).alias("at"))
-        .where(F.size("at") > 1)
+        .where(F.col("digest").isNull() | (F.size("at") > 1))
         .select(F.explode("at").alias("x"))
         .select("x.*")
     )
-    return dealt, near.unionByName(across).unionByName(whole)
+    return dealt, gathered.unionByName(whole)
 
 
 def kept_bytes(data: bytes, covered) -> tuple[bytes, int]:
