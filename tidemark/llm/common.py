@@ -104,3 +104,17 @@ def skewed_lookup(left: DataFrame, right: DataFrame, key: str, by: Column, how:
     salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(0).cast("int")
     spread = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     return left.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(spread)).drop("n"), [key, "_salt"], how).drop("_salt")
+
+
+def set_aside(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, _row): all other columns in one struct, so that no name of theirs can clash."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", (F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None)).alias("_row"))
+
+
+def put_back(out: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The columns of ``docs`` in order, with the new text and, where there is one, its length as n_chars."""
+    new = {"doc_id": F.col("doc_id"), "text": text}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length(text).cast(dict(docs.dtypes)["n_chars"])
+    return out.select(*[new.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])

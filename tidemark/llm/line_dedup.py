@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, salted_lookup, skewed_lookup
+from tidemark.llm.common import cut, put_back, salted_lookup, set_aside, skewed_lookup
 
 MIN_WORDS = 5
 
@@ -175,10 +175,8 @@ def _with_kept(docs: DataFrame, min_words: int) -> DataFrame:
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without their later copies of lines, n_chars set anew; documents that lose every line they had are dropped."""
-    out = _with_kept(docs, min_words).where(F.col("text").isNull() | (F.size("_kept") > 0) | ~F.exists("_lines", lambda x: _normal(x) != ""))
-    text = F.array_join("_left", "\n")
-    new = {"text": text, **({"n_chars": F.length(text).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})}
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    out = _with_kept(set_aside(docs), min_words).where(F.col("text").isNull() | (F.size("_kept") > 0) | ~F.exists("_lines", lambda x: _normal(x) != ""))
+    return put_back(out, docs, F.array_join("_left", "\n"))
 
 
 def digest(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

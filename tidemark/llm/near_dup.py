@@ -71,7 +71,7 @@ def prob_min_hash(elements: list[np.ndarray], weights: list[np.ndarray], registe
     none = np.uint64(2**64 - 1)
     best = np.full(n * registers, none, np.uint64)
     owner = np.repeat(np.arange(n), [len(e) for e in elements])
-    h = np.concatenate([*elements, np.zeros(0, np.uint64)])
+    h = rolling.mix(np.concatenate([*elements, np.zeros(0, np.uint64)]))
     rate = np.concatenate([*weights, np.zeros(0)]).astype(np.float64)
     time = np.zeros(len(h))
     step = 0

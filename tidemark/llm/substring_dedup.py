@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import cut, salted_lookup, ship, shuffle_width, skewed_lookup
+from tidemark.llm.common import cut, put_back, salted_lookup, set_aside, ship, shuffle_width, skewed_lookup
 
 LENGTH = 200
 GRAM = 32
@@ -327,9 +327,7 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     around = (
-        dealt.select("ra", "rb", "doc_id", "text")
-        .join(wanted, "ra")
-        .select("ra", "rb", "text", "at")
+        dealt.join(wanted, "ra")  # all columns, so that both uses share one exchange
         .mapInArrow(contexts, "gram long, block int, ra long, rb long, pos long, stop long, prior binary, after binary, hot boolean")
         .repartition(width, "gram", "block")
         .sortWithinPartitions("gram", "block")
@@ -425,6 +423,5 @@ def remove(docs: DataFrame) -> DataFrame:
 
         return pd.Series([kept_bytes(t.encode(), [(x["start"], x["stop"]) for x in c])[0].decode("utf-8", "ignore") if c is not None and len(c) else t for t, c in zip(text, covered)])
 
-    out = _joined(docs).withColumn("text", left("text", "covered"))
-    new = {"n_chars": F.length("text").cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {}
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    out = _joined(set_aside(docs)).withColumn("text", left("text", "covered"))
+    return put_back(out, docs, F.col("text"))
