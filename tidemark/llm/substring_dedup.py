@@ -33,9 +33,9 @@ from tidemark.llm.common import cut, put_back, salted_lookup, set_aside, ship, s
 LENGTH = 200
 GRAM = 32
 SPAN = LENGTH - GRAM + 1
-#: Depth to which strings are ordered by multikey quicksort, and members of a gram that meet in one task.
+#: Depth to which strings are ordered by multikey quicksort, and members of a gram that meet in one task (some 10 MB).
 SHALLOW = 64
-BLOCK = 2048
+BLOCK = 8192
 _WHOLE = 1 << 40
 
 
