@@ -26,7 +26,7 @@ from tidemark.llm.common import ship
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Segments a worker keeps before it starts anew.
-KEPT_SEGMENTS = 300_000
+KEPT_SEGMENTS = 1_000_000
 SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, n_byte_pieces long, round_trip boolean"
 
 
