@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import cut, put_back, salted_lookup, set_aside, ship, shuffle_width, skewed_lookup
+from tidemark.llm.common import put_back, salted_lookup, set_aside, ship, shuffle_width, skewed_lookup
 
 LENGTH = 200
 GRAM = 32
@@ -293,12 +293,11 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     yield part
 
     found = row.where(F.octet_length("text") >= LENGTH).select("ra", F.xxhash64("text").alias("fa"), "text").mapInArrow(emit, "gram long, ra long, places binary, lo long, hi long")
-    repeated = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("gram", "n")
+    places = F.sum(F.expr("octet_length(places) div 4"))
+    repeated = found.groupBy("gram").agg(places.alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("gram", "n", F.when(F.col("n") > BLOCK, F.col("n")).alias("times"))
     live = skewed_lookup(found.select("gram", "ra", "places"), repeated, "gram", F.col("ra"))
     ones = texts.select(F.col("one.ra").alias("ra")).distinct()
-    live = cut(live.join(ones, "ra", "left_semi"))
-    frequent = live.groupBy("gram").agg(F.count("*").alias("times")).where(F.col("times") > BLOCK)
-    wanted = live.join(frequent, "gram", "left").groupBy("ra").agg(F.collect_list(F.struct("gram", "places", "times")).alias("at"))
+    wanted = live.join(ones, "ra", "left_semi").groupBy("ra").agg(F.collect_list(F.struct("gram", "places", "times")).alias("at"))
 
     def contexts(batches):
         """Contexts to compare (one of equal ones within a text), and what a text repeats within itself (no gram)."""
@@ -318,7 +317,7 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                                 own += [(q - len(left), q + len(right)) for q in (p, seen[left, right])]
                         else:
                             seen[left, right] = p
-                            out.append((x["gram"], ra % blocks, ra, rb, p, 0, left, right, blocks > 1))
+                            out.append((x["gram"], hash((ra, p)) % blocks, ra, rb, p, 0, left, right, blocks > 1))
                 out.extend((None, ra % 1024, ra, rb, start, stop, None, None, False) for start, stop in _merge(own))
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
@@ -370,7 +369,7 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # one pass: covered intervals gather by text, unmatched windows by their hash, of which lone ones go
     gathered = (
         solved.groupBy("gram", "digest", F.when(F.col("digest").isNull(), F.col("ra")).alias("own"))
-        .agg(F.collect_list(F.struct("ra", "rb", "start", "stop")).alias("at"))
+        .agg(F.collect_set(F.struct("ra", "rb", "start", "stop")).alias("at"))  # a window that holds a gram twice is one window
         .where(F.col("digest").isNull() | (F.size("at") > 1))
         .select(F.explode("at").alias("x"))
         .select("x.*")
