@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import put_back, salted_lookup, set_aside, ship, shuffle_width, skewed_lookup
+from tidemark.llm.common import cut, put_back, salted_lookup, set_aside, ship, shuffle_width, skewed_lookup
 
 LENGTH = 200
 GRAM = 32
@@ -297,7 +297,8 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     repeated = found.groupBy("gram").agg(places.alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("gram", "n", F.when(F.col("n") > BLOCK, F.col("n")).alias("times"))
     live = skewed_lookup(found.select("gram", "ra", "places"), repeated, "gram", F.col("ra"))
     ones = texts.select(F.col("one.ra").alias("ra")).distinct()
-    wanted = live.join(ones, "ra", "left_semi").groupBy("ra").agg(F.collect_list(F.struct("gram", "places", "times")).alias("at"))
+    live = cut(live.join(ones, "ra", "left_semi"))
+    wanted = live.groupBy("ra").agg(F.collect_list(F.struct("gram", "places", "times")).alias("at"))
 
     def contexts(batches):
         """Contexts to compare (one of equal ones within a text), and what a text repeats within itself (no gram)."""
