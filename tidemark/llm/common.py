@@ -32,12 +32,17 @@ def ship(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) is a local folder chosen.
+    Only where that setting is absent (tests, a laptop) is a local folder chosen. Spark drops the shuffle files and
+    checkpoints that nothing refers to when the driver collects garbage, which a driver with little to do puts off
+    for long, so that is asked for here: what led to the checkpoint does not fill the disks until the end.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
-    return df.checkpoint()
+    done = df.checkpoint()
+    del df
+    sc._jvm.System.gc()
+    return done
 
 
 def shuffle_width(spark: SparkSession) -> int:
