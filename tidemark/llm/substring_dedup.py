@@ -394,8 +394,9 @@ def kept_bytes(data: bytes, covered) -> tuple[bytes, int]:
 
 def _joined(docs: DataFrame) -> DataFrame:
     texts, covered = spans(docs)
-    grouped = covered.groupBy("ra", "rb").agg(F.collect_set(F.struct("start", "stop")).alias("covered")).select("ra", F.col("rb").alias("_rb"), "covered")
-    return texts.join(grouped, (texts.ra == grouped.ra) & (texts.rb == grouped._rb), "left").drop(grouped.ra).drop("_rb")
+    # keyed by ra alone, like the contexts' join, so that both read one exchange of the texts
+    grouped = covered.groupBy("ra").agg(F.collect_set(F.struct("rb", "start", "stop")).alias("_found"))
+    return texts.join(grouped, "ra", "left").withColumn("covered", F.filter("_found", lambda x: x["rb"] == F.col("rb"))).drop("_found")
 
 
 def digest(docs: DataFrame) -> DataFrame:
