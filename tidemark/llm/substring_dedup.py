@@ -293,12 +293,16 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     yield part
 
     found = row.where(F.octet_length("text") >= LENGTH).select("ra", F.xxhash64("text").alias("fa"), "text").mapInArrow(emit, "gram long, ra long, places binary, lo long, hi long")
-    places = F.sum(F.expr("octet_length(places) div 4"))
-    repeated = found.groupBy("gram").agg(places.alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("gram", "n", F.when(F.col("n") > BLOCK, F.col("n")).alias("times"))
+    repeated = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("gram", "n", (F.col("n") > BLOCK).alias("many"))
     live = skewed_lookup(found.select("gram", "ra", "places"), repeated, "gram", F.col("ra"))
     ones = texts.select(F.col("one.ra").alias("ra")).distinct()
     live = cut(live.join(ones, "ra", "left_semi"))
-    wanted = live.groupBy("ra").agg(F.collect_list(F.struct("gram", "places", "times")).alias("at"))
+    # copies counted too so far: only what is many with them can be many without
+    many = live.where("many")
+    times = many.groupBy("gram").agg(F.count("*").alias("times")).where(F.col("times") > BLOCK)
+    dealt_to = many.join(times, "gram", "left").select("ra", "gram", "places", "times")
+    few = live.where("not many").select("ra", "gram", "places", F.lit(None).cast("long").alias("times"))
+    wanted = few.unionByName(dealt_to).groupBy("ra").agg(F.collect_list(F.struct("gram", "places", "times")).alias("at"))
 
     def contexts(batches):
         """Contexts to compare (one of equal ones within a text), and what a text repeats within itself (no gram)."""
