@@ -10,8 +10,7 @@ tree holds for each member the longest common left side l within the node, and w
 from l before to r after the anchor are covered.
 
 A gram that is very frequent is dealt to blocks of bounded size. A block solves its members among themselves;
-windows of theirs that stay unmatched are compared between blocks by 128-bit hashes, of which a block has each
-at most once, so this is exact too and no group is gathered in one task. Equal texts are one text for the
+their windows are compared between blocks by 128-bit hashes, matched ones once a block, so this is exact too and no group is gathered in one task. Equal texts are one text for the
 search; with two or more copies all windows of a text repeat, so it goes whole.
 
 A null text is empty. A null doc_id is kept. Rows that repeat id and text are copies of each other. Long texts
@@ -208,11 +207,14 @@ def reach(lefts: list[bytes], rights: list[bytes], known: int, length: int = LEN
 
 
 def _solve(rows: list[tuple], hot: bool):
-    """Covered intervals (ra, rb, start, end), and the unmatched windows (digest, ra, rb, start) of a hot gram's block.
+    """Covered intervals (ra, rb, start, end), and the windows (digest, ra, rb, start) of a hot gram's block.
 
     Members whose contexts are equal all through match each other as far as these reach; one stands for them.
+    Windows not covered are given for each member. Of covered ones each text is given once a block, so that a lone
+    copy in another block meets it.
     """
     covered, windows = [], []
+    shown: set[bytes] = set()
     alike: dict[tuple, list] = {}
     for ra, rb, pos, left, right in rows:
         alike.setdefault((left, right), []).append((ra, rb, pos))
@@ -229,9 +231,12 @@ def _solve(rows: list[tuple], hot: bool):
             text = left[::-1] + right
             at = len(left)
             for o in range(max(0, LENGTH - len(right)), min(len(left), LENGTH - GRAM) + 1):
+                digest = hashlib.blake2b(text[at - o : at - o + LENGTH], digest_size=16).digest()
                 if not (r and LENGTH - r <= o <= le):
-                    digest = hashlib.blake2b(text[at - o : at - o + LENGTH], digest_size=16).digest()
                     windows.extend((digest, ra, rb, pos - o) for ra, rb, pos in members)
+                elif digest not in shown:
+                    windows.append((digest, members[0][0], members[0][1], members[0][2] - o))
+                shown.add(digest)
     return covered, windows
 
 
