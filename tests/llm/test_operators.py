@@ -185,6 +185,28 @@ def test_near_dup(spark):
     assert near_dup.classes(empty(spark)).count() == 0
 
 
+def _near_classes(texts, least=0.8, width=5):
+    """All pairs: the smallest index that links of set Jaccard lead to."""
+    words = [t.lower().split() for t in texts]
+    sets = [{tuple(w[i : i + width]) for i in range(max(len(w) - width + 1, 1))} for w in words]
+    root = list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    return root
+
+
+def test_near_dup_ignores_repeat_counts(spark):
+    texts = []
+    for k in range(12):
+        body, foot = " ".join(f"w{k}x{i}" for i in range(200)), " ".join(f"foot{k}x{i}" for i in range(12))
+        texts += [body + f"\n{foot}" * r for r in (2, 20, 40, 80)]
+        texts += [body.replace(f"w{k}x{90 + k} ", "new ") + f"\n{foot}" * 60, " ".join(body.split()[:100]) + f"\n{foot}" * 40]
+    got = {r.doc_id: r.class_id for r in near_dup.classes(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == _near_classes(texts)
+
+
 def test_prob_min_hash_estimates():
     a = np.arange(1, 101, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     s = near_dup.prob_min_hash([a, a[10:], a], [np.ones(100), np.ones(90), np.full(100, 3.0)], 2000)

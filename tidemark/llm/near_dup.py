@@ -1,9 +1,10 @@
-"""Near-duplicate documents by ProbMinHash over weighted word shingles, banding and verification.
+"""Near-duplicate documents by ProbMinHash over word shingles, banding and verification.
 
-Every distinct shingle of five words, weighted by its count, is a Poisson process: its arrivals have exponential
-gaps of that rate and fall on random registers; a register keeps the element that arrives first. Two texts agree
-on a register with the probability Jaccard similarity. A process is followed only while it may still come
-first in some register of its text (early termination).
+Every distinct shingle of five words is a Poisson process: its arrivals have exponential gaps of its weight's
+rate and fall on random registers; a register keeps the element that arrives first. Two texts agree on a register
+with the probability Jaccard similarity. All weights are 1, whatever a shingle's count, which makes that the
+Jaccard similarity of the shingle sets that links are verified by. A process is followed only while it may still
+come first in some register of its text (early termination).
 
 Equal texts are one class first. Bands of registers gather candidates; every member of a band is verified against
 its earliest one by the exact Jaccard similarity of the shingle sets, and within bands that are not yet one
@@ -118,8 +119,8 @@ def _bands(docs: DataFrame, width: int) -> DataFrame:
         for b in batches:
             keys = []
             for texts in _chunks(b.column("text").to_pylist()):
-                pairs = [np.unique(s, return_counts=True) for s in _shingle_hashes(texts, width)]
-                keys.append(band_keys(prob_min_hash([p[0] for p in pairs], [p[1] for p in pairs])))
+                sets = [np.unique(s) for s in _shingle_hashes(texts, width)]
+                keys.append(band_keys(prob_min_hash(sets, [np.ones(len(x)) for x in sets])))
             flat = np.concatenate(keys).reshape(-1) if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("fa"), b.column("fb"), lists], names=["doc_id", "fa", "fb", "bands"])
