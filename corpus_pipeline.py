@@ -23,8 +23,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near copies."""
-    return near_dup.keep(docs)
+    """Keeps one row of each class of near copies, repeated rows and null ids included."""
+    return near_dup.keep(docs, null_ids=True)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

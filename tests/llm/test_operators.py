@@ -218,3 +218,17 @@ def test_pipeline(spark, tmp_path):
     docs(spark, [t for t in TEXTS if t] * 2).drop("_rid").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert len(pipeline.STAGES) == 5 and pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    body = lambda k: " ".join(f"body{k}x{i * i % 89}y{i}" for i in range(90))
+    near = body(2).replace("body2x0y0 ", "other ")
+    rows = [(1, body(0)), (1, body(0)), (None, body(1)), (None, body(1)), (3, body(2)), (None, near), (4, body(3)), (None, body(3)), (5, body(4)), (6, body(5)), (6, body(5)), (6, body(5))]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA.replace(", _rid string", "")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path))
+    texts = sorted(r.text for r in kept.collect())
+    assert len(texts) == 6 and all(sum(body(k) in t or (k == 2 and near in t) for t in texts) == 1 for k in range(6))

@@ -13,7 +13,8 @@ no link between different texts is lost and no pairs of a group are emitted. Cla
 
 Words are lower-cased runs between white space; a text of fewer than five words is one shingle. Texts that are
 null or blank are in no class but their own. A class is named by its smallest doc_id, which is kept; documents
-without doc_id are left out of classes and kept. Rows that repeat id and text are one document. Long texts are
+without doc_id are left out of classes and kept, unless ``keep`` is asked to class them. Rows that repeat id and
+text are one document, of which ``keep`` leaves one row. Long texts are
 taken whole. An empty table gives no rows; ``keep`` carries extra columns.
 """
 
@@ -172,8 +173,8 @@ def _block_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def classes(docs: DataFrame, least: float = LEAST, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, class_id, kept) of every document with an id."""
+def _classed(docs: DataFrame, least: float, width: int) -> DataFrame:
+    """(doc_id, fa, fb, class_id) of every document with an id; fa, fb: its text's fingerprint."""
     ship(docs.sparkSession)
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     full = docs.where(F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)))
@@ -208,12 +209,31 @@ def classes(docs: DataFrame, least: float = LEAST, width: int = SHINGLE) -> Data
     roots = components(near.unionByName(rest))
     of_text = texts.select("fa", "fb", "id").join(roots, "id", "left").select("fa", "fb", F.coalesce("root", "id").alias("class_id"))
     f = fingerprint("text")
-    found = salted_lookup(full.select("doc_id", f["a"].alias("fa"), f["b"].alias("fb")), of_text, ["fa", "fb"], F.col("doc_id"), "inner").select("doc_id", "class_id")
-    blank = docs.where(~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))).select("doc_id", F.col("doc_id").alias("class_id"))
-    return found.unionByName(blank).withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    found = salted_lookup(full.select("doc_id", f["a"].alias("fa"), f["b"].alias("fb")), of_text, ["fa", "fb"], F.col("doc_id"), "inner").select("doc_id", "fa", "fb", "class_id")
+    blank = docs.where(~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))).select("doc_id", f["a"].alias("fa"), f["b"].alias("fb"), F.col("doc_id").alias("class_id"))
+    return found.unionByName(blank)
+
+
+def classes(docs: DataFrame, least: float = LEAST, width: int = SHINGLE) -> DataFrame:
+    """(doc_id, class_id, kept) of every document with an id."""
+    return _classed(docs, least, width).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
-def keep(docs: DataFrame, least: float = LEAST, width: int = SHINGLE) -> DataFrame:
-    """The documents, one of each class."""
-    gone = classes(docs, least, width).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+def keep(docs: DataFrame, least: float = LEAST, width: int = SHINGLE, null_ids: bool = False) -> DataFrame:
+    """The documents, one row of each class: of rows that repeat id and text one stays.
+
+    With ``null_ids``, texts without id are in classes too, behind all that have one: they are named by their hash,
+    from 2**62 on. Without it only equal ones among them are one. Blank texts without id stay as they are.
+    """
+    full = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
+    lone = docs.where(F.col("doc_id").isNull() & ~full)
+    docs = docs.where(F.col("doc_id").isNotNull() | full)
+    name = F.lit(2**63 - 1) - F.xxhash64("text").bitwiseAND(F.lit(2**62 - 1))
+    own = F.coalesce("doc_id", name) if null_ids else F.col("doc_id")
+    f = fingerprint("text")
+    classed = _classed(docs.select(own.alias("doc_id"), "text"), least, width)
+    gone = classed.where("doc_id <> class_id").select(F.col("doc_id").alias("id"), "fa", "fb").distinct()
+    rows = docs.select(own.alias("id"), f["a"].alias("fa"), f["b"].alias("fb"), F.struct("*").alias("row"))
+    # both keyed alike, so that the texts are shuffled once
+    one = rows.dropDuplicates(["id", "fa", "fb"]).join(gone, ["id", "fa", "fb"], "left_anti")
+    return one.select("row.*").unionByName(lone)
