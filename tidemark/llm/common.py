@@ -32,13 +32,16 @@ def ship(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) is a local folder chosen. Spark drops the shuffle files and
+    Only where that setting is absent and the master is local (tests, a laptop) is a local folder chosen. Spark drops the shuffle files and
     checkpoints that nothing refers to when the driver collects garbage, which a driver with little to do puts off
     for long, so that is asked for here: what led to the checkpoint does not fill the disks until the end.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise RuntimeError("a cluster needs spark.checkpoint.dir, a folder that its machines share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     done = df.checkpoint()
     del df
     sc._jvm.System.gc()
@@ -64,12 +67,12 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], by: Column
     return lhs.join(rhs, [*keys, "_salt"], how).drop("_salt")
 
 
-def components(edges: DataFrame, salts: int = 32) -> DataFrame:
-    """Connected components of the undirected edges (a, b): rows (id, root), root being the smallest id reached.
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of the undirected edges (a, b) of any orderable ids: rows (id, root), root being the smallest id reached.
 
     Each round hangs every id and its larger neighbours below the smallest neighbour, and then lets each id
-    follow its parent's parent. Both steps pre-aggregate by min or distinct, and the parent look-up is
-    salted, so a hub that a third of all ids point to stays spread. Every round is checkpointed; the number
+    follow its parent's parent. Both look-ups deal hot ids to several tasks, so neither a hub that a third of all
+    ids point to nor an id with many smaller neighbours is gathered in one. Every round is checkpointed; the number
     of rounds grows with the logarithm of the longest chain.
     """
     pairs = cut(
@@ -77,38 +80,69 @@ def components(edges: DataFrame, salts: int = 32) -> DataFrame:
         .select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("r"))
         .distinct()
     )
-    before = None
     while True:
-        least = pairs.groupBy("v").agg(F.min("r").alias("m"), F.collect_set("r").alias("rs"))
-        small = least.select("v", F.explode(F.array_union(F.array("v"), "rs")).alias("x"), "m").where("x <> m").select(F.col("x").alias("v"), F.col("m").alias("r")).distinct()
-        small = cut(small)
-        parent = small.groupBy("v").agg(F.min("r").alias("up"))
-        jumped = salted_lookup(small, parent.select(F.col("v").alias("r"), "up"), ["r"], F.col("v"), salts=salts).select("v", F.coalesce("up", "r").alias("r"), (F.col("up").isNotNull()).alias("moved"))
+        least = pairs.groupBy("v").agg(F.min("r").alias("m"), F.count("*").alias("n"))
+        hung = skewed_lookup(pairs, least, ["v"], F.xxhash64("r"))
+        small = cut(hung.select(F.explode(F.array("v", "r")).alias("v"), F.col("m").alias("r")).where("v <> r").distinct())
+        parent = small.groupBy("v").agg(F.min("r").alias("up")).select(F.col("v").alias("r"), "up")
+        children = small.groupBy("r").agg(F.count("*").alias("n"))
+        jumped = skewed_lookup(small, children.join(parent, "r"), ["r"], F.xxhash64("v"), "left").select("v", F.coalesce("up", "r").alias("r"), F.col("up").isNotNull().alias("moved"))
         pairs = cut(jumped.groupBy("v", "r").agg(F.max("moved").alias("moved")))
         n, keys, moved = pairs.agg(F.count("*"), F.countDistinct("v"), F.count(F.when(F.col("moved"), 1))).first()
-        now = (n, keys, moved)
         pairs = pairs.drop("moved")
         if n == keys and not moved:
             return pairs.select(F.col("v").alias("id"), F.col("r").alias("root"))
-        if now == before and n == keys and not moved:
-            return pairs.select(F.col("v").alias("id"), F.col("r").alias("root"))
-        before = now
 
 
-def skewed_lookup(left: DataFrame, right: DataFrame, key: str, by: Column, how: str = "inner", salts: int = 64) -> DataFrame:
-    """``left`` joined with ``right``, whose ``key`` is unique and whose column ``n`` counts the rows of ``left`` with it.
+def skewed_lookup(left: DataFrame, right: DataFrame, keys: list[str], by: Column, how: str = "inner", salts: int = 64) -> DataFrame:
+    """``left`` joined with ``right``, whose ``keys`` are unique and whose column ``n`` counts the rows of ``left`` with them.
 
     Keys with over 1/1024 of those rows (so under 1024 keys, which bounds what the driver gets) are dealt to
     ``salts`` tasks by a hash of ``by``; all others are joined as they are.
     """
     right = cut(right)
     total = right.agg(F.sum("n")).first()[0] or 0
-    hot = [r[0] for r in right.where(F.col("n") > max(2048, total // 1024)).select(key).collect()]
+    mark = F.xxhash64(*keys)
+    hot = [r[0] for r in right.where(F.col("n") > max(2048, total // 1024)).select(mark).collect()]
     if not hot:
-        return left.join(right.drop("n"), key, how)
-    salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(0).cast("int")
-    spread = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return left.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(spread)).drop("n"), [key, "_salt"], how).drop("_salt")
+        return left.join(right.drop("n"), keys, how)
+    salt = F.when(mark.isin(hot), F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(0).cast("int")
+    spread = F.when(mark.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return left.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(spread)).drop("n"), [*keys, "_salt"], how).drop("_salt")
+
+
+#: Bits of a filter for each key, and at most (32 MB); hashes of a key; words in a row of the filter.
+_FILTER_BITS, _FILTER_MOST, _FILTER_HASHES, _FILTER_ROW = 16, 1 << 28, 3, 4096
+
+
+class KeyFilter:
+    """A Bloom filter of a column of 64-bit hashes as one row, looked up by a scalar subquery inside a scan.
+
+    It has 16 bits a key and 32 MB at most; beyond some 16 million keys more others pass. It only thins what is
+    shuffled to an exact join, so results never depend on it.
+    """
+
+    def __init__(self, keys: DataFrame, count: int):
+        spark = keys.sparkSession
+        self.bits = min(_FILTER_MOST, max(1 << 18, 1 << (max(count, 1) * _FILTER_BITS - 1).bit_length()))
+        key = keys.columns[0]
+        at = keys.select(F.explode(F.array(*[self._place(F.col(key), i) for i in range(_FILTER_HASHES)])).alias("p"))
+        words = at.groupBy(F.expr("p div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(p % 64)))").alias("b"))
+        every = spark.range(self.bits // 64).withColumnRenamed("id", "w").join(words, "w", "left").select("w", F.coalesce("b", F.lit(0).cast("long")).alias("b"))
+        rows = every.groupBy(F.expr(f"w div {_FILTER_ROW}").alias("r")).agg(F.sort_array(F.collect_list(F.struct("w", "b")))["b"].alias("row"))
+        self.table = cut(rows.agg(F.sort_array(F.collect_list(F.struct("r", "row")))["row"].alias("bits")))
+
+    def _place(self, key: Column, i: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(i), key), F.lit(self.bits).cast("long"))
+
+    def may_hold(self, key: Column) -> Column:
+        held = self.table.scalar()
+        out = F.lit(True)
+        for i in range(_FILTER_HASHES):
+            p = self._place(key, i)
+            word = F.get(F.get(held, (p / (64 * _FILTER_ROW)).cast("int")), F.pmod((p / 64).cast("long"), F.lit(_FILTER_ROW)).cast("int"))
+            out = out & (F.call_function("shiftright", word, F.pmod(p, F.lit(64)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)
+        return out
 
 
 def set_aside(docs: DataFrame) -> DataFrame:

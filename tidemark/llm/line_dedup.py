@@ -70,7 +70,7 @@ def _candidates(first: DataFrame, docs: DataFrame) -> DataFrame:
     """(at, norm) of the lines that share a coarse half with another."""
     keyed = first.select("a", F.explode("halves").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi").select("key", "n")
-    alive = skewed_lookup(keyed, shared, "key", F.col("a"), "left_semi").select("a").distinct()
+    alive = skewed_lookup(keyed, shared, ["key"], F.col("a"), "left_semi").select("a").distinct()
     picked = first.select("a", "at").join(alive, "a", "left_semi")
     wanted = cut(picked.groupBy(F.col("at.rid").alias("rid"), F.col("at.doc_id").alias("doc_id")).agg(F.collect_list("at.line_no").alias("take")))
     small = wanted.count() <= BROADCAST_DOCS
@@ -90,7 +90,7 @@ def _near(first: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
     when = lambda c: F.when(F.col("role") == 0, c)
     shared = halves.groupBy("key").agg(F.count("*").alias("n"), (F.min(when(F.col("at"))) < F.max(when(F.col("at")))).alias("equal"), (F.max("role") > F.min("role")).alias("unequal")).where("equal or unequal")
     bits = F.when(F.col("role") == 0, F.when(F.col("equal"), F.col("bit")).otherwise(0).bitwiseOR(F.when(F.col("unequal"), _SHORT).otherwise(0))).otherwise(F.when(F.col("unequal"), F.col("bit")).otherwise(0))
-    held = skewed_lookup(halves, shared, "key", F.xxhash64("at")).groupBy("at").agg(F.bit_or(bits).alias("bits")).where("bits > 0")
+    held = skewed_lookup(halves, shared, ["key"], F.xxhash64("at")).groupBy("at").agg(F.bit_or(bits).alias("bits")).where("bits > 0")
     lines = split(cut(found.join(held, "at").select("at", "norm", "bits")))
     xor = lambda acc, x: acc.bitwiseXOR(x)
     zero = F.lit(0).cast("long")
@@ -120,7 +120,7 @@ def _near(first: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
     groups = variants.groupBy("key").agg(F.count("*").alias("n"), side(0).alias("r"), side(1).alias("l"), side(2).alias("w")).where("n > 1 and (l is null or w is not null)")
     other = F.when(F.col("kind") == 0, F.col("r")).when(F.col("kind") == 1, F.col("w")).otherwise(F.col("l"))
     claims = (
-        skewed_lookup(variants, groups, "key", F.xxhash64("at"))
+        skewed_lookup(variants, groups, ["key"], F.xxhash64("at"))
         .withColumn("o", other)
         .where("o is not null and o.at < at")
         .select("at", F.col("o.at").alias("oat"), "kind", F.when(F.col("kind") == 2, F.col("o.place")).otherwise(F.col("place")).alias("place"))

@@ -13,9 +13,12 @@ no link between different texts is lost and no pairs of a group are emitted. Cla
 
 Words are lower-cased runs between white space; a text of fewer than five words is one shingle. Texts that are
 null or blank are in no class but their own. A class is named by its smallest doc_id, which is kept; documents
-without doc_id are left out of classes and kept, unless ``keep`` is asked to class them. Rows that repeat id and
-text are one document, of which ``keep`` leaves one row. Long texts are
-taken whole. An empty table gives no rows; ``keep`` carries extra columns.
+without doc_id are in no class (class_id is null) and kept, unless ``keep`` is asked to class them. Ids may be of
+any integer type. Rows that repeat id and text are one document, of which ``keep`` leaves one row; two texts under
+one id are two documents, each with a class of its own name or of its copies'. Long texts are taken whole. An empty
+table gives no rows; ``keep`` carries extra columns, whatever their names.
+
+Texts leave the scan for verification only if a bounded filter of the candidates' hashes lets them through.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import components, cut, fingerprint, salted_lookup, ship, skewed_lookup
+from tidemark.llm.common import KeyFilter, components, cut, fingerprint, ship, skewed_lookup
 
 LEAST = 0.8
 SHINGLE = 5
@@ -130,24 +133,43 @@ def _bands(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", f["a"].alias("fa"), f["b"].alias("fb"), "text").mapInArrow(run, "doc_id long, fa long, fb long, bands array<long>")
 
 
-def _shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+def _shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(id, fa, held) of (id, fa, text)."""
+
     def run(batches):
         for b in batches:
             at = 0
             for texts in _chunks(b.column("text").to_pylist()):
                 sets = [np.unique(s).view(np.int64) for s in _shingle_hashes(texts, width)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(at, len(texts)), pa.array(sets, pa.list_(pa.int64()))], names=["id", "held"])
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, len(texts)), b.column("fa").slice(at, len(texts)), pa.array(sets, pa.list_(pa.int64()))], names=["id", "fa", "held"])
                 at += len(texts)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, held array<long>")
+    return texts.mapInArrow(run, "id long, fa long, held array<long>")
+
+
+def _shared_counts(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """|a & b| of each set with each other one, by places in the sorted values of all ``others``."""
+    flat = np.concatenate([*others, np.zeros(0, np.int64)])
+    owner = np.repeat(np.arange(len(others)), [len(o) for o in others])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    out = np.zeros((len(sets), len(others)), np.int64)
+    for i, s in enumerate(sets):
+        lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(s) else np.zeros(0, np.int64)
+        out[i] = np.bincount(owner[at], minlength=len(others))
+    return out
 
 
 def _block_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
     """Links that join different components, among a block's two sides (equal sides: within one)."""
-    rows = rows.drop_duplicates(["id", "side"])
-    ids, side, sets = rows.id.to_numpy(), rows.side.to_numpy(), [np.asarray(x) for x in rows.held]
+    rows = rows.drop_duplicates(["id", "fa", "side"])
+    ids, marks, side = rows.id.to_numpy(), rows.fa.to_numpy(), rows.side.to_numpy()
+    sets = [np.asarray(x) for x in rows.held]
     size = np.array([len(s) for s in sets])
-    up = {int(r): int(r) for r in rows.root}
+    root = pd.factorize(pd.MultiIndex.from_arrays([rows.ri, rows.rf]))[0]
+    up = np.arange(len(rows))
 
     def find(x):
         while up[x] != x:
@@ -155,68 +177,81 @@ def _block_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
             x = up[x]
         return x
 
-    roots = rows.root.to_numpy()
-    out = []
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1) if (side == 1).any() else left
-    for i in left:
-        for j in right:
-            if (right is left and j <= i) or min(size[i], size[j]) < least * max(size[i], size[j]):
-                continue
-            a, b = find(int(roots[i])), find(int(roots[j]))
-            if a == b:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if both >= least * (size[i] + size[j] - both) - 1e-9:
-                up[max(a, b)] = min(a, b)
-                out.append((int(ids[i]), int(ids[j])))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    both = _shared_counts([sets[i] for i in left], [sets[j] for j in right])
+    linked = both >= least * (size[left][:, None] + size[right][None] - both) - 1e-9
+    linked &= root[left][:, None] != root[right][None]
+    if right is left:
+        linked = np.triu(linked, 1)
+    out = []
+    for x, y in np.argwhere(linked):
+        i, j = left[x], right[y]
+        a, b = find(root[i]), find(root[j])
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            out.append((int(ids[i]), int(marks[i]), int(ids[j]), int(marks[j])))
+    return pd.DataFrame(out, columns=["ai", "af", "bi", "bf"]).astype("int64")
 
 
 def _classed(docs: DataFrame, least: float, width: int) -> DataFrame:
-    """(doc_id, fa, fb, class_id) of every document with an id; fa, fb: its text's fingerprint."""
+    """(doc_id, fa, fb, root) of every document with an id; fa, fb: its text's fingerprint.
+
+    A text's node is (its smallest doc_id, fa), so two texts that share an id stay two; root is the least node of
+    the class, and its id the class's name.
+    """
     ship(docs.sparkSession)
-    docs = docs.where("doc_id is not null").select("doc_id", "text")
+    f = fingerprint("text")
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     full = docs.where(F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)))
     banded = _bands(full, width)
-    texts = cut(banded.groupBy("fa", "fb").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")))
-    keyed = texts.select("id", F.explode("bands").alias("band"))
-    groups = keyed.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    members = cut(skewed_lookup(keyed, groups.select("band", "n", "first", F.col("n").alias("size")), "band", F.col("id")).select("band", "id", "first", "size"))
-    active = members.select("id").distinct()
-    sets = cut(_shingle_sets(full.join(active, full.doc_id == active.id, "left_semi"), width).dropDuplicates(["id"]))
-    edges = members.where("id <> first").select("id", "first").distinct()
-    mine = edges.join(sets, "id")
-    theirs = sets.select(F.col("id").alias("first"), F.col("held").alias("other"))
+    texts = cut(banded.groupBy("fa", "fb").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.count("*").alias("n")))
+    keyed = texts.select(F.struct("id", "fa").alias("node"), F.explode("bands").alias("band"))
+    groups = keyed.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
+    members = cut(skewed_lookup(keyed, groups.select("band", "n", "first", F.col("n").alias("size")), ["band"], F.xxhash64("node")).select("band", "node", "first", "size"))
+    active = cut(members.select(F.xxhash64("node.id", "node.fa").alias("h")).distinct())
+    wanted = KeyFilter(active, active.count())
+    # texts of candidates alone leave the scan, as shingle sets
+    candidates = full.where(wanted.may_hold(F.xxhash64("doc_id", f["a"]))).select(F.col("doc_id").alias("id"), f["a"].alias("fa"), "text")
+    sets = cut(_shingle_sets(candidates, width).groupBy(F.struct("id", "fa").alias("node")).agg(F.first("held").alias("held")))
+    edges = cut(members.where("node <> first").select("node", "first").distinct())
+    pivots = edges.groupBy("first").agg(F.count("*").alias("n")).join(sets.select(F.col("node").alias("first"), F.col("held").alias("other")), "first")
     both = F.size(F.array_intersect("held", "other"))
-    pairs = salted_lookup(mine, theirs, ["first"], F.col("id"), "inner", salts=8)
-    near = cut(pairs.withColumn("both", both).where(F.col("both") >= least * (F.size("held") + F.size("other") - F.col("both")) - 1e-9).select(F.col("id").alias("a"), F.col("first").alias("b")))
+    pairs = skewed_lookup(edges.join(sets, "node"), pivots, ["first"], F.xxhash64("node"), salts=16)
+    near = cut(pairs.withColumn("both", both).where(F.col("both") >= least * (F.size("held") + F.size("other") - F.col("both")) - 1e-9).select(F.col("node").alias("a"), F.col("first").alias("b")))
     roots = components(near)
-    tagged = salted_lookup(members.where("size > 2"), roots.withColumnRenamed("root", "r"), ["id"], F.col("band"), salts=1).select("band", "id", F.coalesce("r", "id").alias("root"))
+    tagged = members.where("size > 2").join(roots.select(F.col("id").alias("node"), "root"), "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     mixed = (
         tagged.groupBy("band")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("which"))
+        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("which"))
         .where("lo < hi")
         .groupBy("which", "n")
         .agg(F.min("band").alias("band"))
     )
     blocks = F.ceil(F.col("parts") / F.lit(BLOCK)).cast("int")
-    left = skewed_lookup(tagged, mixed.select("band", "n", F.col("n").alias("parts")), "band", F.col("id")).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    left = skewed_lookup(tagged, mixed.select("band", "n", F.col("n").alias("parts")), ["band"], F.xxhash64("node")).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = left.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", "id", "root", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).cast("int").alias("side")
+        "band", "node", F.col("root.id").alias("ri"), F.col("root.fa").alias("rf"), F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).cast("int").alias("side")
     )
-    rest = dealt.join(sets, "id").groupBy("band", "i", "j").applyInPandas(lambda rows: _block_links(rows, least), "a long, b long")
-    roots = components(near.unionByName(rest))
-    of_text = texts.select("fa", "fb", "id").join(roots, "id", "left").select("fa", "fb", F.coalesce("root", "id").alias("class_id"))
-    f = fingerprint("text")
-    found = salted_lookup(full.select("doc_id", f["a"].alias("fa"), f["b"].alias("fb")), of_text, ["fa", "fb"], F.col("doc_id"), "inner").select("doc_id", "fa", "fb", "class_id")
-    blank = docs.where(~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))).select("doc_id", f["a"].alias("fa"), f["b"].alias("fb"), F.col("doc_id").alias("class_id"))
+    compared = dealt.join(sets, "node").select("band", "i", "j", "side", "node.id", "node.fa", "ri", "rf", "held")
+    rest = cut(compared.groupBy("band", "i", "j").applyInPandas(lambda rows: _block_links(rows, least), "ai long, af long, bi long, bf long"))
+    if not rest.isEmpty():
+        pair = lambda a, b: F.struct(F.col(a).alias("id"), F.col(b).alias("fa"))
+        roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(rest.select(pair("ai", "af").alias("a"), pair("bi", "bf").alias("b"))))
+    of_text = texts.select("fa", "fb", F.struct("id", "fa").alias("node"), "n").join(roots.withColumnRenamed("id", "node"), "node", "left").select("fa", "fb", F.coalesce("root", "node").alias("root"), "n")
+    found = skewed_lookup(full.select("doc_id", f["a"].alias("fa"), f["b"].alias("fb")), of_text, ["fa", "fb"], F.col("doc_id")).select("doc_id", "fa", "fb", "root")
+    blank = docs.where(~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))).select("doc_id", f["a"].alias("fa"), f["b"].alias("fb"), F.struct(F.col("doc_id").alias("id"), f["a"].alias("fa")).alias("root"))
     return found.unionByName(blank)
 
 
+_IS_ROOT = "doc_id = root.id and fa = root.fa"
+
+
 def classes(docs: DataFrame, least: float = LEAST, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, class_id, kept) of every document with an id."""
-    return _classed(docs, least, width).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    """(doc_id, class_id, kept) of every document; without an id: in no class, and kept."""
+    found = _classed(docs, least, width).select("doc_id", F.col("root.id").alias("class_id"), F.expr(_IS_ROOT).alias("kept"))
+    lone = docs.where("doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("kept"))
+    return found.unionByName(lone)
 
 
 def keep(docs: DataFrame, least: float = LEAST, width: int = SHINGLE, null_ids: bool = False) -> DataFrame:
@@ -229,10 +264,10 @@ def keep(docs: DataFrame, least: float = LEAST, width: int = SHINGLE, null_ids:
     lone = docs.where(F.col("doc_id").isNull() & ~full)
     docs = docs.where(F.col("doc_id").isNotNull() | full)
     name = F.lit(2**63 - 1) - F.xxhash64("text").bitwiseAND(F.lit(2**62 - 1))
-    own = F.coalesce("doc_id", name) if null_ids else F.col("doc_id")
+    own = (F.coalesce("doc_id", name) if null_ids else F.col("doc_id")).cast("long")
     f = fingerprint("text")
     classed = _classed(docs.select(own.alias("doc_id"), "text"), least, width)
-    gone = classed.where("doc_id <> class_id").select(F.col("doc_id").alias("id"), "fa", "fb").distinct()
+    gone = classed.where(~F.expr(_IS_ROOT)).select(F.col("doc_id").alias("id"), "fa", "fb").distinct()
     rows = docs.select(own.alias("id"), f["a"].alias("fa"), f["b"].alias("fb"), F.struct("*").alias("row"))
     # both keyed alike, so that the texts are shuffled once
     one = rows.dropDuplicates(["id", "fa", "fb"]).join(gone, ["id", "fa", "fb"], "left_anti")

@@ -299,7 +299,7 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     found = row.where(F.octet_length("text") >= LENGTH).select("ra", F.xxhash64("text").alias("fa"), "text").mapInArrow(emit, "gram long, ra long, places binary, lo long, hi long")
     repeated = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("gram", "n", (F.col("n") > BLOCK).alias("many"))
-    live = skewed_lookup(found.select("gram", "ra", "places"), repeated, "gram", F.col("ra"))
+    live = skewed_lookup(found.select("gram", "ra", "places"), repeated, ["gram"], F.col("ra"))
     ones = texts.select(F.col("one.ra").alias("ra")).distinct()
     live = cut(live.join(ones, "ra", "left_semi"))
     # copies counted too so far: only what is many with them can be many without
