@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,23 +30,47 @@ def ship(spark: SparkSession) -> None:
     setattr(sc, _SHIPPED, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
-
-    Only where that setting is absent and the master is local (tests, a laptop) is a local folder chosen. Spark drops the shuffle files and
-    checkpoints that nothing refers to when the driver collects garbage, which a driver with little to do puts off
-    for long, so that is asked for here: what led to the checkpoint does not fill the disks until the end.
-    """
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Only where the setting is absent and the master is local (tests, a laptop) is a local folder chosen."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir")
         if not shared and not sc.master.startswith("local"):
             raise RuntimeError("a cluster needs spark.checkpoint.dir, a folder that its machines share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
-    done = df.checkpoint()
-    del df
-    sc._jvm.System.gc()
-    return done
+
+
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
+
+    The shuffle files that led to the checkpoint are of no more use, so Spark is told to drop them when it is written.
+    """
+    spark = df.sparkSession
+    checkpoint_folder(spark)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        return df.checkpoint()
+    finally:
+        spark.conf.set(_CLEAN, before)
+
+
+class Staged:
+    """Rows written as Parquet to the shared checkpoint folder, and removed by ``drop`` once they are of no more use."""
+
+    def __init__(self, df: DataFrame):
+        spark = df.sparkSession
+        checkpoint_folder(spark)
+        self.spark, self.path = spark, f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
+        df.write.parquet(self.path)
+        self.df = spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:

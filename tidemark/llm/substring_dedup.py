@@ -3,15 +3,20 @@
 Every byte covered by a 200-byte string that starts anywhere else too is removed. Such a string holds at least
 one of the 32-byte grams that are least within some window of 169 grams (winnowing), and its other occurrences
 hold the same gram at the same place, so only suffixes at those anchors are sorted. Anchors whose gram occurs
-once have no partner and go. The rest meet by gram (the first 32 bytes sorted), carrying 168 bytes to the left
-and 200 to the right. Within a group the right sides are ordered by multikey quicksort to a shallow depth, and
+once have no partner and go. An anchor's context is the 168 bytes to its left and 200 to its right: where equal
+contexts meet (by hash, counted, never gathered) all of it is covered, and one of them stands for all from there
+on. The rest meet by gram (the first 32 bytes sorted). Within a group the right sides are ordered by multikey quicksort to a shallow depth, and
 groups that are still equal there by blind tries, which also give the common prefixes; a node of depth r of that
 tree holds for each member the longest common left side l within the node, and where l + r reaches 200 the bytes
 from l before to r after the anchor are covered.
 
-A gram that is very frequent is dealt to blocks of bounded size. A block solves its members among themselves;
-their windows are compared between blocks by 128-bit hashes, matched ones once a block, so this is exact too and no group is gathered in one task. Equal texts are one text for the
-search; with two or more copies all windows of a text repeat, so it goes whole.
+A gram of very many contexts is split by what stands around it: the 169 offsets that a window may have around it
+are four ranges, and all windows of a range share a core of some 158 bytes. Members meet by the core's hash, one
+row a range, and cores that occur once go. A core that is still frequent is dealt to blocks of bounded size. A block solves its members among
+themselves; the range's windows are compared between blocks by 128-bit hashes, matched ones once
+a block, so this is exact too and no group is gathered in one task. Texts leave the scan, to be joined with their
+contexts or with what is covered, only if a bounded filter lets them through. Equal texts are one text for the search; with
+two or more copies all windows of a text repeat, so it goes whole.
 
 A null text is empty. A null doc_id is kept. Rows that repeat id and text are copies of each other. Long texts
 are taken whole. An empty table gives no rows; ``remove`` carries extra columns.
@@ -27,14 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import cut, put_back, salted_lookup, set_aside, ship, shuffle_width, skewed_lookup
+from tidemark.llm.common import KeyFilter, Staged, cut, put_back, set_aside, ship, shuffle_width, skewed_lookup
 
 LENGTH = 200
 GRAM = 32
 SPAN = LENGTH - GRAM + 1
-#: Depth to which strings are ordered by multikey quicksort, and members of a gram that meet in one task (some 10 MB).
+#: Depth to which strings are ordered by multikey quicksort, and members of a gram or core that meet in one task (under 1 MB).
 SHALLOW = 64
-BLOCK = 8192
+BLOCK = 2048
+#: (first, last) window offset of each range that a frequent gram's windows are split into.
+RANGES = [(SPAN * i // 4, SPAN * (i + 1) // 4 - 1) for i in range(4)]
 _WHOLE = 1 << 40
 
 
@@ -48,18 +55,23 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(after[: n - width + 1], before[width - 1 : n])
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the grams that are least in some window of SPAN grams (all of them, where equal)."""
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, grams' hashes and contexts' hashes of the grams that are least in some window of SPAN grams (all of them, where equal)."""
     n = len(data) - GRAM + 1
     if n < SPAN:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     at = np.arange(n)
-    h = rolling.spans(rolling.prefix(data), at, at + GRAM)
+    sums = rolling.prefix(data)
+    h = rolling.spans(sums, at, at + GRAM)
     least = _sliding(h, SPAN, np.minimum)
     pad = np.zeros(SPAN - 1, np.uint64)
     reach = _sliding(np.concatenate((pad, least, pad)), SPAN, np.maximum)
     chosen = np.flatnonzero(reach == h)
-    return chosen, h[chosen]
+    first = np.maximum(chosen - SPAN + 1, 0)
+    around = rolling.spans(sums, first, np.minimum(chosen + LENGTH, len(data)))
+    with np.errstate(over="ignore"):
+        around = rolling.mix(around + (chosen - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return chosen, h[chosen], around
 
 
 def common(a: bytes, b: bytes, start: int = 0) -> int:
@@ -206,14 +218,19 @@ def reach(lefts: list[bytes], rights: list[bytes], known: int, length: int = LEN
     return out
 
 
-def _solve(rows: list[tuple], hot: bool):
-    """Covered intervals (ra, rb, start, end), and the windows (digest, ra, rb, start) of a hot gram's block.
+def _solve(rows: list[tuple], offsets: tuple[int, int] | None):
+    """Covered intervals (ra, rb, start, end), and of a block the windows (digest, ra, rb, start) at its range of offsets.
 
     Members whose contexts are equal all through match each other as far as these reach; one stands for them.
     Windows not covered are given for each member. Of covered ones each text is given once a block, so that a lone
     copy in another block meets it.
     """
     covered, windows = [], []
+    if len(grams := {r[4][:GRAM] for r in rows}) > 1:  # two grams of one hash
+        for g in grams:
+            c, w = _solve([r for r in rows if r[4][:GRAM] == g], offsets)
+            covered, windows = covered + c, windows + w
+        return covered, windows
     shown: set[bytes] = set()
     alike: dict[tuple, list] = {}
     for ra, rb, pos, left, right in rows:
@@ -227,10 +244,10 @@ def _solve(rows: list[tuple], hot: bool):
         for ra, rb, pos in members:
             if r:
                 covered.append((ra, rb, pos - le, pos + r))
-        if hot:
+        if offsets:
             text = left[::-1] + right
             at = len(left)
-            for o in range(max(0, LENGTH - len(right)), min(len(left), LENGTH - GRAM) + 1):
+            for o in range(max(offsets[0], LENGTH - len(right)), min(len(left), offsets[1]) + 1):
                 digest = hashlib.blake2b(text[at - o : at - o + LENGTH], digest_size=16).digest()
                 if not (r and LENGTH - r <= o <= le):
                     windows.extend((digest, ra, rb, pos - o) for ra, rb, pos in members)
@@ -240,151 +257,173 @@ def _solve(rows: list[tuple], hot: bool):
     return covered, windows
 
 
-def _grams(texts, fa: np.ndarray, ra: np.ndarray):
-    """A row for each gram of each text: (gram, ra, places as 32-bit bytes, least and greatest mark of text and place)."""
-    grams, owners, places, starts, low, high, at = [], [], [], [], [], [], 0
-    for i, t in enumerate(texts):
-        pos, h = anchors(np.frombuffer(t.as_buffer(), np.uint8))
-        if len(h):
-            order = np.argsort(h, kind="stable")
-            pos, h = pos[order], h[order]
-            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-            with np.errstate(over="ignore"):
-                mark = rolling.mix(np.uint64(int(fa[i]) & (2**64 - 1)) + pos.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-            grams.append(h[first].view(np.int64))
-            owners.append(np.full(len(first), ra[i]))
-            places.append(pos.astype("<i4"))
-            starts.append(first + at)
-            low.append(np.minimum.reduceat(mark, first))
-            high.append(np.maximum.reduceat(mark, first))
-            at += len(pos)
-    if not grams:
-        return None
-    offsets = np.concatenate([*starts, [at]]).astype(np.int32) * 4
-    packed = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.concatenate(places).tobytes())])
-    cols = [pa.array(np.concatenate(grams)), pa.array(np.concatenate(owners)), packed, pa.array(np.concatenate(low)), pa.array(np.concatenate(high))]
-    return pa.RecordBatch.from_arrays(cols, names=["gram", "ra", "places", "lo", "hi"])
-
-
-def _merge(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for start, stop in sorted(intervals):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(stop, out[-1][1]))
-        else:
-            out.append((start, stop))
-    return out
+def _places(texts, fa: np.ndarray, ra: np.ndarray, rb: np.ndarray):
+    """(gram, context, fa, ra, rb, pos) of each anchor of each text."""
+    found = [anchors(np.frombuffer(t.as_buffer(), np.uint8)) for t in texts]
+    owner = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+    pos, gram, context = (np.concatenate(x) for x in zip(*found))
+    cols = [gram.view(np.int64), context.view(np.int64), fa[owner], ra[owner], rb[owner], pos]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["gram", "context", "fa", "ra", "rb", "pos"])
 
 
-def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): the documents dealt by their row's fingerprint (ra, rb), and (ra, rb, start, stop) of covered bytes."""
-    spark = docs.sparkSession
-    ship(spark)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with their row's fingerprint (ra, rb); a null text is empty."""
     text = F.coalesce("text", F.lit(""))
-    row = docs.withColumn("ra", F.xxhash64("doc_id", text)).withColumn("rb", F.xxhash64(F.lit(0x5DEECE66D), "doc_id", text)).withColumn("text", text)
+    return docs.withColumn("ra", F.xxhash64("doc_id", text)).withColumn("rb", F.xxhash64(F.lit(0x5DEECE66D), "doc_id", text)).withColumn("text", text)
+
+
+def spans(row: DataFrame) -> DataFrame:
+    """(ra, rb, start, stop) of covered bytes of keyed documents."""
+    spark = row.sparkSession
+    ship(spark)
     width = shuffle_width(spark)
-    dealt = row.repartition(width, "ra")
+    long = row.where(F.octet_length("text") >= LENGTH)
     # one row stands for all equal texts; texts with copies go whole
-    marks = row.where(F.octet_length("text") >= LENGTH).select("ra", "rb", F.xxhash64("text").alias("fa"), F.xxhash64(F.lit(0x5DEECE66D), "text").alias("fb"))
-    texts = marks.groupBy("fa", "fb").agg(F.min(F.struct("ra", "rb")).alias("one"), F.count("*").alias("copies"))
-    whole = salted_lookup(marks, texts.where("copies > 1").select("fa", "fb"), ["fa", "fb"], F.col("ra"), "inner").select("ra", "rb", F.lit(0).cast("long").alias("start"), F.lit(_WHOLE).alias("stop")).distinct()
+    marks = long.select("ra", "rb", F.xxhash64("text").alias("fa"), F.xxhash64(F.lit(0x5DEECE66D), "text").alias("fb"))
+    texts = cut(marks.groupBy("fa", "fb").agg(F.min(F.struct("ra", "rb")).alias("one"), F.count("*").alias("n")))
+    # rows that repeat id and text have one fingerprint
+    whole = cut(skewed_lookup(marks, texts.where("n > 1").select("fa", "fb", "n"), ["fa", "fb"], _spread("ra")).select("ra", "rb", F.lit(0).cast("long").alias("start"), F.lit(_WHOLE).alias("stop")).distinct())
 
     def emit(batches):
         for b in batches:
             texts = b.column("text").cast(pa.binary())
             for s in range(0, b.num_rows, 500):
-                part = _grams(texts[s : s + 500], b.column("fa").to_numpy()[s : s + 500], b.column("ra").to_numpy()[s : s + 500])
-                if part is not None:
-                    yield part
-
-    found = row.where(F.octet_length("text") >= LENGTH).select("ra", F.xxhash64("text").alias("fa"), "text").mapInArrow(emit, "gram long, ra long, places binary, lo long, hi long")
-    repeated = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("gram", "n", (F.col("n") > BLOCK).alias("many"))
-    live = skewed_lookup(found.select("gram", "ra", "places"), repeated, ["gram"], F.col("ra"))
-    ones = texts.select(F.col("one.ra").alias("ra")).distinct()
-    live = cut(live.join(ones, "ra", "left_semi"))
-    # copies counted too so far: only what is many with them can be many without
-    many = live.where("many")
-    times = many.groupBy("gram").agg(F.count("*").alias("times")).where(F.col("times") > BLOCK)
-    dealt_to = many.join(times, "gram", "left").select("ra", "gram", "places", "times")
-    few = live.where("not many").select("ra", "gram", "places", F.lit(None).cast("long").alias("times"))
-    wanted = few.unionByName(dealt_to).groupBy("ra").agg(F.collect_list(F.struct("gram", "places", "times")).alias("at"))
-
-    def contexts(batches):
-        """Contexts to compare (one of equal ones within a text), and what a text repeats within itself (no gram)."""
-        names = ["gram", "block", "ra", "rb", "pos", "stop", "prior", "after", "hot"]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
+                yield _places(texts[s : s + 500], *(b.column(c).to_numpy()[s : s + 500] for c in ("fa", "ra", "rb")))
+
+    found = Staged(long.select("ra", "rb", F.xxhash64("text").alias("fa"), "text").mapInArrow(emit, "gram long, context long, fa long, ra long, rb long, pos long"))
+    # of copies' anchors, text and place are the same
+    mark = F.xxhash64("fa", "pos")
+    repeated = cut(found.df.select("gram", mark.alias("mark")).groupBy("gram").agg(F.count("*").alias("n"), F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo <> hi").select("gram", "n"))
+    held = KeyFilter(repeated.select("gram"), repeated.count())
+    live = skewed_lookup(found.df.drop("fa").where(held.may_hold(F.col("gram"))), repeated, ["gram"], _spread("ra", "pos"))
+    live = Staged(live.join(texts.select(F.col("one.ra").alias("ra")).distinct(), "ra", "left_semi"))
+    found.drop()
+    contexts = Staged(live.df.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("ra", "rb", "pos")).alias("one")))
+    equal = skewed_lookup(live.df, contexts.df.where("n > 1").select("gram", "context", "n"), ["gram", "context"], _spread("ra", "pos"))
+    equal = cut(equal.select("ra", "rb", F.greatest(F.col("pos") - (SPAN - 1), F.lit(0)).alias("start"), (F.col("pos") + LENGTH).alias("stop")))
+    live.drop()
+    groups = contexts.df.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").withColumn("size", F.col("n"))
+    met = Staged(skewed_lookup(contexts.df.select("gram", "one.ra", "one.rb", "one.pos"), groups, ["gram"], F.xxhash64("ra", "pos")).withColumns({"core": F.lit(0).cast("long"), "first": F.lit(0), "last": F.lit(SPAN - 1)}))
+    contexts.drop()
+    size = F.col("size")
+    frequent = met.df.where(size > BLOCK).drop("size")
+    split = not frequent.isEmpty()
+    asked = met.df.where(size <= BLOCK).withColumn("blocks", F.lit(1)).select(*_ASKED)
+    if split:
+        asked = asked.unionByName(_split(row, frequent).withColumn("blocks", F.ceil(size / F.lit(BLOCK)).cast("int")).select(*_ASKED))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("ra", "pos"), F.col("blocks")).cast("int"))
+    solved = cut(
+        _sides(row, asked)
+        .repartition(width, "gram", "core", "first", "block")
+        .sortWithinPartitions("gram", "core", "first", "block")
+        .mapInArrow(_solve_sorted, _ddl(_SOLVED))
+    )
+    met.drop()
+    covered = whole.unionByName(equal).unionByName(solved.where("digest is null").select("ra", "rb", "start", "stop"))
+    if split:
+        # windows of one hash at two places, of which a window that holds a gram twice is one
+        windows = solved.where("digest is not null")
+        place = F.struct("ra", "rb", "start")
+        met = windows.groupBy("gram", "digest").agg(F.count("*").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("gram", "digest", "n")
+        covered = covered.unionByName(skewed_lookup(windows, met, ["gram", "digest"], F.xxhash64("ra", "start")).select("ra", "rb", "start", "stop"))
+    return covered
+
+
+_ASKED = ["gram", "core", "first", "last", "ra", "rb", "pos", "blocks"]
+
+
+def _spread(*cols: str):
+    """What rows are dealt by; repeated rows differ in the partition that they come from."""
+    return F.xxhash64(*cols, F.spark_partition_id())
+
+
+_SIDES = [("gram", pa.int64()), ("core", pa.int64()), ("block", pa.int32()), ("ra", pa.int64()), ("rb", pa.int64()), ("pos", pa.int64()), ("prior", pa.binary()), ("after", pa.binary()), ("first", pa.int32()), ("last", pa.int32()), ("apart", pa.bool_())]
+_SOLVED = [("digest", pa.binary()), ("ra", pa.int64()), ("rb", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("gram", pa.int64())]
+_CORES = [("gram", pa.int64()), ("core", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("ra", pa.int64()), ("rb", pa.int64()), ("pos", pa.int64())]
+
+
+def _ddl(fields) -> str:
+    return ", ".join(f"{n} { {pa.int64(): 'long', pa.int32(): 'int', pa.binary(): 'binary', pa.bool_(): 'boolean'}[k]}" for n, k in fields)
+
+
+def _batch(rows: list[tuple], fields) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+
+
+def _with_places(row: DataFrame, asked: DataFrame, columns: list[str]) -> DataFrame:
+    """(ra, rb, text, at) of the texts that ``asked`` has places of, one row each."""
+    of_text = cut(asked.groupBy("ra", "rb").agg(F.collect_list(F.struct(*columns)).alias("at")))
+    held = KeyFilter(of_text.select(F.xxhash64("ra", "rb").alias("h")), of_text.count())
+    return row.where(held.may_hold(F.xxhash64("ra", "rb"))).select("ra", "rb", "text").dropDuplicates(["ra", "rb"]).join(of_text, ["ra", "rb"])
+
+
+def _mapped(of, fields):
+    """A mapInArrow function that yields ``of(ra, rb, text, places)`` of each row."""
+
+    def run(batches):
+        out: list[tuple] = []
         for b in batches:
-            out = []
             for ra, rb, t, at in zip(b.column("ra").to_pylist(), b.column("rb").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), b.column("at").to_pylist()):
-                own = []
-                for x in at:
-                    blocks = -(-x["times"] // BLOCK) if x["times"] else 1
-                    seen: dict[tuple, int] = {}
-                    for p in np.frombuffer(x["places"], "<i4").tolist():
-                        left, right = t[max(0, p - SPAN + 1) : p][::-1], t[p : p + LENGTH]
-                        if (left, right) in seen:
-                            if len(left) + len(right) >= LENGTH:
-                                own += [(q - len(left), q + len(right)) for q in (p, seen[left, right])]
-                        else:
-                            seen[left, right] = p
-                            out.append((x["gram"], hash((ra, p)) % blocks, ra, rb, p, 0, left, right, blocks > 1))
-                out.extend((None, ra % 1024, ra, rb, start, stop, None, None, False) for start, stop in _merge(own))
+                out.extend(of(ra, rb, t, at))
                 if len(out) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+                    yield _batch(out, fields)
                     out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+        if out:
+            yield _batch(out, fields)
 
-    around = (
-        dealt.join(wanted, "ra")  # all columns, so that both uses share one exchange
-        .mapInArrow(contexts, "gram long, block int, ra long, rb long, pos long, stop long, prior binary, after binary, hot boolean")
-        .repartition(width, "gram", "block")
-        .sortWithinPartitions("gram", "block")
-    )
+    return run
 
-    def solve(batches):
-        names, kinds = ["digest", "ra", "rb", "start", "stop", "gram"], [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-        key, group, hot, out = None, [], False, []
 
-        def close():
-            if len(group) > 1 or hot:
-                covered, windows = _solve(group, hot)
-                out.extend((None, *c, None) for c in covered)
-                out.extend((d, ra, rb, s, s + LENGTH, key[0]) for d, ra, rb, s in windows)
+def _sides(row: DataFrame, asked: DataFrame) -> DataFrame:
+    """Each asked place with its sides, as far as its range of offsets needs them; ``apart`` where windows are compared between blocks."""
 
-        def batch():
-            done = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-            out.clear()
-            return done
+    def sides(ra, rb, t, at):
+        for x in at:
+            p, first, last = x["pos"], x["first"], x["last"]
+            yield x["gram"], x["core"], x["block"], ra, rb, p, t[max(0, p - last) : p][::-1], t[p : p + LENGTH - first], first, last, x["blocks"] > 1
 
-        for b in batches:
-            cols = [b.column(n).to_pylist() for n in ("stop", "gram", "block", "ra", "rb", "pos", "prior", "after", "hot")]
-            for stop, gram, block, *rest, now_hot in zip(*cols):
-                if gram is None:
-                    out.append((None, rest[0], rest[1], rest[2], stop, None))
-                    if len(out) > 20_000:
-                        yield batch()
-                    continue
-                if (gram, block) != key:
-                    close()
-                    if len(out) > 20_000:
-                        yield batch()
-                    key, group, hot = (gram, block), [], now_hot
+    return _with_places(row, asked, ["gram", "pos", "core", "first", "last", "block", "blocks"]).mapInArrow(_mapped(sides, _SIDES), _ddl(_SIDES))
+
+
+def _solve_sorted(batches):
+    key, group, offsets, out = None, [], None, []
+
+    def close():
+        if len(group) > 1 or offsets:
+            covered, windows = _solve(group, offsets)
+            out.extend((None, *c, None) for c in covered)
+            out.extend((d, ra, rb, s, s + LENGTH, key[0]) for d, ra, rb, s in windows)
+
+    for b in batches:
+        cols = [b.column(n).to_pylist() for n in ("gram", "core", "block", "ra", "rb", "pos", "prior", "after", "first", "last", "apart")]
+        for gram, core, block, *rest, first, last, apart in zip(*cols):
+            if (gram, core, first, block) == key:
                 group.append(tuple(rest))
-        close()
-        if out:
-            yield batch()
-
-    solved = around.mapInArrow(solve, "digest binary, ra long, rb long, start long, stop long, gram long")
-    # one pass: covered intervals gather by text, unmatched windows by their hash, of which lone ones go
-    gathered = (
-        solved.groupBy("gram", "digest", F.when(F.col("digest").isNull(), F.col("ra")).alias("own"))
-        .agg(F.collect_set(F.struct("ra", "rb", "start", "stop")).alias("at"))  # a window that holds a gram twice is one window
-        .where(F.col("digest").isNull() | (F.size("at") > 1))
-        .select(F.explode("at").alias("x"))
-        .select("x.*")
-    )
-    return dealt, gathered.unionByName(whole)
+            else:
+                close()
+                key, group, offsets = (gram, core, first, block), [tuple(rest)], (first, last) if apart else None
+            if len(out) > 20_000:
+                yield _batch(out, _SOLVED)
+                out.clear()
+    close()
+    if out:
+        yield _batch(out, _SOLVED)
+
+
+def _split(row: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Places of frequent grams for each range of offsets whose core repeats: (gram, core, first, last, ra, rb, pos, size)."""
+
+    def cores(ra, rb, t, at):
+        for x in at:
+            p = x["pos"]
+            for first, last in RANGES:
+                if first <= p and p + LENGTH - last <= len(t):
+                    core = hashlib.blake2b(t[p - first : p + LENGTH - last], digest_size=8, salt=bytes([first])).digest()
+                    yield x["gram"], int.from_bytes(core, "little", signed=True), first, last, ra, rb, p
+
+    places = cut(_with_places(row, frequent, ["gram", "pos"]).mapInArrow(_mapped(cores, _CORES), _ddl(_CORES)))
+    counted = places.groupBy("gram", "core").agg(F.count("*").alias("n")).where("n > 1").withColumn("size", F.col("n"))
+    return skewed_lookup(places, counted, ["gram", "core"], F.xxhash64("ra", "pos"))
 
 
 def kept_bytes(data: bytes, covered) -> tuple[bytes, int]:
@@ -402,10 +441,12 @@ def kept_bytes(data: bytes, covered) -> tuple[bytes, int]:
 
 
 def _joined(docs: DataFrame) -> DataFrame:
-    texts, covered = spans(docs)
-    # keyed by ra alone, like the contexts' join, so that both read one exchange of the texts
-    grouped = covered.groupBy("ra").agg(F.collect_set(F.struct("rb", "start", "stop")).alias("_found"))
-    return texts.join(grouped, "ra", "left").withColumn("covered", F.filter("_found", lambda x: x["rb"] == F.col("rb"))).drop("_found")
+    """The documents with ``covered``; only texts that may have covered bytes are shuffled to them."""
+    row = _keyed(docs)
+    grouped = cut(spans(row).groupBy("ra", "rb").agg(F.collect_set(F.struct("start", "stop")).alias("covered")))
+    held = KeyFilter(grouped.select(F.xxhash64("ra", "rb").alias("h")), grouped.count())
+    hit = held.may_hold(F.xxhash64("ra", "rb"))
+    return row.where(hit).join(grouped, ["ra", "rb"], "left").unionByName(row.where(~hit).withColumn("covered", F.lit(None).cast(grouped.schema["covered"].dataType)))
 
 
 def digest(docs: DataFrame) -> DataFrame:
