@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, put_back, salted_lookup, set_aside, skewed_lookup
+from tidemark.llm.common import KeyFilter, cut, put_back, salted_lookup, set_aside, skewed_lookup
 
 MIN_WORDS = 5
 
@@ -62,24 +62,16 @@ def _fine(min_words: int) -> Column:
     return F.array_compact(F.array(*keys))
 
 
-#: Documents with candidate lines up to which their list is broadcast (under 50 MB); beyond, texts are shuffled to it.
-BROADCAST_DOCS = 400_000
-
-
 def _candidates(first: DataFrame, docs: DataFrame) -> DataFrame:
-    """(at, norm) of the lines that share a coarse half with another."""
+    """(at, norm) of the lines that share a coarse half with another; of all others nothing leaves the scan but what a bounded filter lets through."""
     keyed = first.select("a", F.explode("halves").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi").select("key", "n")
     alive = skewed_lookup(keyed, shared, ["key"], F.col("a"), "left_semi").select("a").distinct()
-    picked = first.select("a", "at").join(alive, "a", "left_semi")
-    wanted = cut(picked.groupBy(F.col("at.rid").alias("rid"), F.col("at.doc_id").alias("doc_id")).agg(F.collect_list("at.line_no").alias("take")))
-    small = wanted.count() <= BROADCAST_DOCS
-    d, w = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), "text").alias("d"), (F.broadcast(wanted) if small else wanted).alias("w")
-    return (
-        d.join(w, F.col("d.rid").eqNullSafe(F.col("w.rid")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-        .select("d.doc_id", "d.rid", F.split("d.text", "\n").alias("lines"), F.explode("w.take").alias("line_no"))
-        .select(F.struct("doc_id", "rid", "line_no").alias("at"), _normal(F.element_at("lines", F.col("line_no") + 1)).alias("norm"))
-    )
+    picked = cut(first.select("a", "at").join(alive, "a", "left_semi").select("at"))
+    wanted = KeyFilter(picked.select(F.xxhash64("at.doc_id", "at.rid", "at.line_no").alias("h")), picked.count())
+    lines = _lines(docs).where(wanted.may_hold(F.xxhash64("doc_id", "rid", "line_no")))
+    # rows that repeat id and text give a line each
+    return lines.select(F.struct("doc_id", "rid", "line_no").alias("at"), _normal(F.col("line")).alias("norm")).dropDuplicates(["at"]).join(picked, "at", "left_semi")
 
 
 def _near(first: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
@@ -154,11 +146,11 @@ def decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     first = numbered.groupBy("a", "b").agg(F.min("at").alias("at"), *[F.min(f"h{i}").alias(f"h{i}") for i in range(4)])
     first = cut(first.select("a", "at", F.array_compact(F.array(*[f"h{i}" for i in range(4)])).alias("halves")))
-    gone = _near(first, docs, min_words).select("at.doc_id", "at.rid", "at.line_no", F.lit(True).alias("gone"))
+    gone = cut(_near(first, docs, min_words)).select("at.doc_id", "at.rid", "at.line_no", F.lit(True).alias("gone"))
     every = first.select("at.doc_id", "at.rid", "at.line_no", F.lit(False).alias("gone")).unionByName(gone)
     numbers = lambda c: F.collect_list(F.when(c, F.col("line_no")))
     of_doc = every.groupBy("doc_id", "rid").agg(numbers(~F.col("gone")).alias("all"), numbers(F.col("gone")).alias("gone"))
-    return of_doc.select("doc_id", "rid", F.array_except("all", "gone").alias("kept")).where(F.size("kept") > 0)
+    return cut(of_doc.select("doc_id", "rid", F.array_except("all", "gone").alias("kept")).where(F.size("kept") > 0))
 
 
 def _with_kept(docs: DataFrame, min_words: int) -> DataFrame:
