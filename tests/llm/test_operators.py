@@ -62,8 +62,7 @@ def test_tokens():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.word_bpe_path())
-    t.encode_special_tokens = True
-    for x in [*TEXTS, "a., b), c.' d's. 'S. x'., ΑΣ, Σ. é. İ.\x1cb 12. 3.4, ...", "Å. don't, <|endoftext|>"]:
+    for x in [*TEXTS, "a., b), c.' d's. 'S. x'., ΑΣ, Σ. é. İ.\x1cb 12. 3.4, ...", "Å. don't, <|endoftext|>", "<|startoftext|>a<|EndOfText|> b.<|endoftext|>"]:
         assert tokens.tokenizer().encode(x).tolist() == t.encode(x or "", add_special_tokens=False).ids + [1]
 
 
@@ -106,6 +105,43 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.link(df.limit(0)).count() == 0
 
 
+def test_embedding_recall_in_wide_spaces(spark):
+    rng = np.random.default_rng(8)
+    for width in (64, 256):
+        base = rng.normal(size=(400, width)) + 3 * rng.normal(size=(5, width))[rng.integers(0, 5, 400)]
+        unit = base / np.linalg.norm(base, axis=1)[:, None]
+        near = embedding_dedup.planted(unit, 0.981, seed=3)
+        every = np.concatenate((unit, near))
+        df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(every)], "vec_id int, embedding array<double>, label int")
+        got = {r.vec_id: r.n_links for r in embedding_dedup.link(df).collect()}
+        want = (every @ every.T >= 0.98).sum(1) - 1
+        assert sum(got.values()) >= 0.95 * want.sum() and all(got[i] <= want[i] for i in got)
+
+
+def test_exact_topk_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "CANDIDATE_BLOCK", 16)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(100)]
+    rows += [rows[3], rows[3], rows[50], (200, rows[3][1]), (7, rows[8][1])]
+    v = [(i, np.floor(np.array(x) * 256).astype(int)) for i, x in rows]
+    got = {}
+    for r in exact_topk.search(spark.createDataFrame(rows, "vec_id int, embedding array<double>")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in (0, 200):
+        want = sorted((-int(w @ dict(v)[q]), i) for i, w in v if i != q)[:5]
+        assert sorted(got[q]) == [(k, i, -s) for k, (s, i) in enumerate(want, 1)]
+    assert len(got[50]) == 5
+
+
+def test_exact_topk_eliminates():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 8)) * 3000
+    x = (centres[rng.integers(0, 20, 8000)] + rng.normal(size=(8000, 8)) * 100).astype(int)
+    spent: list = []
+    exact_topk.block_top(np.arange(50), x[:50], np.arange(8000), x, x[::250], 5, spent=spent)
+    assert sum(a for a, _ in spent) < 0.7 * sum(b for _, b in spent)
+
+
 def test_exact_topk(spark):
     rows, df = _vectors(spark)
     good = {i: [int(np.floor(float(x) * 256)) for x in v] for i, v, _ in rows if i is not None and v is not None and v[0] == v[0]}
@@ -117,24 +153,42 @@ def test_exact_topk(spark):
 def test_training_order(spark, tmp_path):
     for n in (1, 2, 5, 100, 1000):
         assert sorted(training_order.feistel(np.arange(n), n, 7)) == list(range(n))
-    ordered = training_order.materialise(docs(spark, TEXTS + [PROSE * 30]), shard_slots=4).cache()
-    rows = ordered.collect()
-    assert [r.slot for r in rows] == list(range(len(rows)))
-    training_order.write_shards(ordered, str(tmp_path), shard_slots=4)
-    back = training_order.read_slots(str(tmp_path), 0, len(rows), shard_slots=4)
-    assert all(bytes(r.ids) == b.tobytes()[: len(r.ids)] for r, b in zip(rows, back))
-    assert training_order.digest(ordered).count() == len(rows) and training_order.materialise(empty(spark)).count() == 0
+    d = docs(spark, TEXTS + [PROSE * 30, "\n".join(["newline ids"] * 700)])
+    ordered, size = training_order.materialise(d, shard_slots=2)
+    rows = sorted(ordered.collect(), key=lambda r: r.slot)
+    assert [r.slot for r in rows] == list(range(size)) and [r.shard for r in rows] == [i // 2 for i in range(size)]
+    # every id of every document stands in one sequence
+    ids = {i: tokens.tokenizer().encode(t) for i, t in enumerate(TEXTS + [PROSE * 30, "\n".join(["newline ids"] * 700)])}
+    seen = Counter()
+    for r in rows:
+        at = 0
+        for doc, start, n in zip(r.doc_ids, r.starts, r.lengths):
+            if doc is not None:
+                assert bytes(r.ids)[2 * at : 2 * (at + n)] == ids[doc][start : start + n].tobytes()
+                seen.update((doc, start + i) for i in range(n))
+            at += n
+    assert set(seen.values()) == {1} and len(seen) == sum(map(len, ids.values()))
+    folder = f"{tmp_path}/shards"
+    each = training_order.write_shards(ordered, size, folder, shard_slots=2)
+    back = sorted(training_order.read_slots(spark, folder, each, shard_slots=2).collect(), key=lambda r: r.slot)
+    assert [(r.slot, r.shard, r.byte_offset, bytes(r.ids)) for r in back] == [(r.slot, r.shard, r.byte_offset, bytes(r.ids)) for r in rows]
+    files = sorted(tmp_path.glob("shards/part-*"))
+    assert len(files) == -(-size // 2) and sum(f.stat().st_size for f in files) == size * training_order.stride()
+    assert training_order.digest(d, shard_slots=2).count() == size and training_order.digest(empty(spark)).count() == 0
 
 
 def test_sentence_pieces(spark):
     m = sentence_pieces.model()
     pieces = {p: s for p, _, s in sentence_pieces.load_pieces(sentence_pieces.piece_path())[0]}
-    for word in ("▁the", "▁unbelievable", "▁naïve", "▁🤖x"):
-        best = [0.0]
+    rng = np.random.default_rng(5)
+    words = ["▁the", "▁unbelievable", "▁naïve", "▁🤖x"] + ["▁" + "".join(rng.choice(list("etaoinshr'é日"), rng.integers(1, 14))) for _ in range(60)]
+    for word in words:
+        paths = [(0.0, ())]
         for e in range(1, len(word) + 1):
-            best.append(max(best[s] + (pieces[word[s:e]] if word[s:e] in pieces else m.unknown) for s in range(e) if word[s:e] in pieces or e == s + 1))
+            paths.append(max((paths[s][0] + pieces.get(word[s:e], m.unknown), paths[s][1] + (word[s:e],)) for s in range(e) if word[s:e] in pieces or e == s + 1))
         ids = m.viterbi(word)
-        assert sum(m.score.get(i, 0) for i in ids) + m.unknown * sum(c not in pieces for c in word) == pytest.approx(best[-1])
+        assert sum(m.score.get(i, 0) for i in ids) + m.unknown * sum(c not in pieces for c in paths[-1][1]) == pytest.approx(paths[-1][0])
+    assert sum(np.exp(list(pieces.values()))) == pytest.approx(1) and len(m.encode("The unbelievable quick brown foxes jumped")) <= 12
     got = {r.doc_id: r for r in sentence_pieces.digest(docs(spark)).collect()}
     assert all(r.round_trip for r in got.values()) and got[0].n_tokens == 0
     assert {r.doc_id: r.text for r in sentence_pieces.decode(sentence_pieces.encode(docs(spark))).collect()}[8] == TEXTS[8]

@@ -4,8 +4,10 @@ Independent codebooks on the two halves of the unit vectors (fitted on a bounded
 every vector stands in one cell of it, beside its label. A vector visits cells in the order of its distance to
 them (multi-sequence: two sorted lists, a heap over the grid) as long as a linked vector may lie there, and
 verifies the cosine in double precision. How far it goes is ``reach``: the share of the linking radius by which
-a link may cross a cell's border. It starts from what random differences of that many components need, and is
-raised until the sample's own links are found again to the target recall; 1 would be exhaustive.
+a link may cross a cell's border. It is raised, from what random differences need, until three kinds of links are
+found to the target recall: those that some sampled vectors have among all rows (a brute-force scan), and planted
+ones at exactly the linking cosine, whose differences are random, and point at other vectors; 1 is exhaustive.
+Codebooks grow with the fourth root of the number of vectors, so that a cell holds about its square root.
 
 Equal vectors of a label are one class with a count. A cell's vectors are dealt to blocks of bounded size, and
 blocks meet blocks, so a cell of any size is spread; pairs are counted inside, never emitted: a block returns
@@ -26,14 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cut, fingerprint, salted_lookup, ship
+from tidemark.llm.common import components, cut, fingerprint, ship, skewed_lookup
 from tidemark.llm.exact_topk import finite
 
 LEAST = 0.98
 SAMPLE = 4096
-CENTROIDS = 24
+CENTROIDS = (24, 256)
 BLOCK = 1024
 TARGET_RECALL = 0.99
+#: Vectors whose links are looked up among all rows to measure recall, and links of each that a batch returns.
+PROBES, PROBE_LINKS = 128, 8
 
 
 def fit_codebook(rows: np.ndarray, k: int, rounds: int = 10, seed: int = 5) -> np.ndarray:
@@ -94,27 +98,65 @@ def _units(v, width: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1)[:, None]
 
 
-def build_index(sample: list, width: int, least: float, target: float = TARGET_RECALL) -> MultiIndex:
-    radius = float(np.sqrt(max(2 - 2 * least, 0)))
-    unit = _units([r.v for r in sample], width)
-    h = width // 2
-    index = MultiIndex([fit_codebook(unit[:, :h], CENTROIDS), fit_codebook(unit[:, h:], CENTROIDS)], radius, 1.0)
-    own, far = index.border(unit)
-    cells = index.cells(own)
-    label = np.array([r.label for r in sample])
-    pairs = []
-    for s in range(0, len(unit), 512):
-        i, j = np.nonzero((unit[s : s + 512] @ unit.T >= least) & (label[s : s + 512, None] == label[None]))
-        pairs += [(a + s, b) for a, b in zip(i, j) if a + s != b][:2000]
-    for share in (4.0, 5.0, 6.0, 8.0):
-        index.reach = min(1.0, share / np.sqrt(max(width, 1)))
-        found = sum(cells[b] in index.visit(far[0][a], far[1][a]) for a, b in pairs[:4000])
-        if index.reach == 1 or found >= target * len(pairs[:4000]):
+def planted(unit: np.ndarray, least: float, seed: int = 11) -> np.ndarray:
+    """For each vector two at cosine ``least``: off it in a random direction, and towards another vector."""
+    order = np.random.default_rng(seed)
+    side = np.sqrt(max(1 - least**2, 0))
+    out = []
+    for towards in (order.normal(size=unit.shape), unit[order.permutation(len(unit))] - unit):
+        towards = towards - (towards * unit).sum(1)[:, None] * unit
+        length = np.linalg.norm(towards, axis=1)[:, None]
+        out.append(np.where(length > 1e-12, least * unit + side * towards / np.maximum(length, 1e-12), unit))
+    return np.concatenate(out)
+
+
+def recall(index: MultiIndex, a: np.ndarray, b: np.ndarray) -> float:
+    """The share of links a[i], b[i] (unit vectors) that a's visits find."""
+    _, far = index.border(a)
+    cells = index.cells(index.border(b)[0])
+    return float(np.mean([c in index.visit(x, y) for x, y, c in zip(*far, cells)])) if len(a) else 1.0
+
+
+def build_index(unit: np.ndarray, links: tuple[np.ndarray, np.ndarray], least: float, n: int, target: float = TARGET_RECALL) -> MultiIndex:
+    """Codebooks of the sampled unit vectors, and the least reach that finds ``links`` and planted ones to the target."""
+    h = unit.shape[1] // 2
+    k = int(min(CENTROIDS[1], max(CENTROIDS[0], round(n**0.25))))
+    index = MultiIndex([fit_codebook(unit[:, :h], k), fit_codebook(unit[:, h:], k)], float(np.sqrt(max(2 - 2 * least, 0))), 1.0)
+    some = unit[:512]
+    away = planted(some, least)
+    kinds = [(some, away[: len(some)]), (some, away[len(some) :]), links]
+    for share in np.linspace(0.4, 0.95, 12):
+        index.reach = float(share)
+        if min(recall(index, a, b) for a, b in kinds) >= target:
             return index
     index.reach = 1.0
     return index
 
 
+def _probe_links(classes: DataFrame, probes: list, width: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the probes among all rows, as unit vectors (probe, other): a bounded number."""
+    unit = _units([np.array(p.v) for p in probes], width)
+    label = [(p.label, len(p.v)) for p in probes]
+    own = [p.rep for p in probes]
+
+    def run(batches):
+        for b in batches:
+            v = b.column("v").to_pylist()
+            near = _units(v, width) @ unit.T >= least
+            out, count = [], np.zeros(len(unit), int)
+            for i, j in np.argwhere(near):
+                if count[j] < PROBE_LINKS and b.column("rep")[i].as_py() != own[j] and (b.column("label")[i].as_py(), len(v[i])) == label[j]:
+                    count[j] += 1
+                    out.append((int(j), v[i]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.list_(pa.float64()))], names=["probe", "other"])
+
+    found = classes.select("rep", "label", F.col("v").cast("array<double>").alias("v")).mapInArrow(run, "probe long, other array<double>").limit(PROBES * PROBE_LINKS).collect()
+    if not found:
+        return np.zeros((0, width)), np.zeros((0, width))
+    return unit[[r.probe for r in found]], _units([np.array(r.other) for r in found], width)
+
+
 def _roots(hit: np.ndarray, qids: np.ndarray, xids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The smallest id that each side reaches through the block's links."""
     none = np.iinfo(np.int64).max
@@ -132,15 +174,18 @@ def link(vectors: DataFrame, least: float = LEAST, sample: int = SAMPLE) -> Data
     spark = vectors.sparkSession
     ship(spark)
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite("embedding") & F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast(kind if kind in ("array<float>", "array<double>") else "array<double>").alias("embedding"))
     good = rows.where(usable).withColumn("f", fingerprint("label", "embedding"))
     classes = cut(good.groupBy("f", "label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).select("f", "label", F.col("embedding").alias("v"), "rep", "copies", F.size("embedding").alias("dim")))
-    width = max(2, classes.agg(F.max("dim")).first()[0] or 2)
-    chosen = classes.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("v", "label").collect()
+    n, wide = classes.agg(F.count("*"), F.max("dim")).first()
+    width = max(2, wide or 2)
+    chosen = classes.orderBy(F.xxhash64("rep"), "rep", "f").limit(sample).select("rep", "v", "label").collect()
     alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not chosen:
         return alone
-    shared = spark.sparkContext.broadcast(build_index(chosen, width, least))
+    links = _probe_links(classes, chosen[:PROBES], width, least)
+    shared = spark.sparkContext.broadcast(build_index(_units([np.array(r.v) for r in chosen], width), links, least, n))
 
     def place(batches):
         index = shared.value
@@ -152,18 +197,18 @@ def link(vectors: DataFrame, least: float = LEAST, sample: int = SAMPLE) -> Data
             )
 
     label_type = dict(classes.dtypes)["label"]
-    placed = cut(classes.select("rep", "label", "dim", "copies", "v").mapInArrow(place, f"rep long, label {label_type}, dim int, copies long, v array<double>, cell int, visits array<int>"))
+    placed = cut(classes.select("rep", "label", "dim", "copies", "v").mapInArrow(place, f"rep long, label {label_type}, dim int, copies long, v {dict(classes.dtypes)["v"]}, cell int, visits array<int>"))
     key = ["label", "dim", "cell"]
-    blocks = placed.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    blocks = placed.groupBy(*key).agg(F.count("*").alias("n"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     deal = lambda c: F.pmod(F.xxhash64("rep", F.lit(c)), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    index_side = salted_lookup(placed.select("rep", "copies", "v", *key), blocks, key, F.col("rep"), "inner").withColumn("xb", deal(1)).withColumn("qb", every).drop("blocks")
-    query_side = salted_lookup(placed.select("rep", "v", "label", "dim", F.explode("visits").alias("cell")), blocks, key, F.col("rep"), "inner").withColumn("qb", deal(2)).withColumn("xb", every).drop("blocks")
+    index_side = skewed_lookup(placed.select("rep", "copies", "v", *key), blocks, key, F.xxhash64("rep")).withColumn("xb", deal(1)).withColumn("qb", every).drop("blocks")
+    query_side = skewed_lookup(placed.select("rep", "v", "label", "dim", F.explode("visits").alias("cell")), blocks, key, F.xxhash64("rep")).withColumn("qb", deal(2)).withColumn("xb", every).drop("blocks")
 
     def verify(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):
             return pd.DataFrame({"rep": [], "links": [], "root": []}).astype("int64")
-        qv, xv = np.stack(q.v.to_list()), np.stack(x.v.to_list())
+        qv, xv = np.stack(q.v.to_list()).astype(np.float64), np.stack(x.v.to_list()).astype(np.float64)
         cosine = (qv @ xv.T) / (np.linalg.norm(qv, axis=1)[:, None] * np.linalg.norm(xv, axis=1)[None])
         qi, xi = q.rep.to_numpy(), x.rep.to_numpy()
         hit = (cosine >= least) & (qi[:, None] != xi[None])
@@ -179,8 +224,8 @@ def link(vectors: DataFrame, least: float = LEAST, sample: int = SAMPLE) -> Data
         classes.select("f", "rep", "copies")
         .join(found.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left")
         .join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left")
-        .select("f", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+        .select("f", F.col("copies").alias("n"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
     )
-    linked = salted_lookup(good.select("vec_id", "f"), of_class, ["f"], F.col("vec_id"), "inner").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    linked = skewed_lookup(good.select("vec_id", "f"), of_class, ["f"], F.col("vec_id")).select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
     rest = rows.where(~F.coalesce(usable, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     return linked.unionByName(rest)

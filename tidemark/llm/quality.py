@@ -8,7 +8,8 @@ It learns from labelled rows whose crc32(doc_id) mod 3 is not 1, at most ``sampl
 smallest hash of doc_id (a bounded sample whatever the input's size), and scores every whole text.
 
 Nulls and empty texts have the statistics of an empty text and get a score; a null doc_id is never held out nor
-learnt from. Repeated rows are scored each. Rows without label, or with labels that contradict each other, are
+learnt from; ids may be of any integer type. Repeated rows are scored each; of texts that share an id, the one with
+the least hash is learnt from. Very long texts are scored whole; an empty table gives no rows. Rows without label, or with labels that contradict each other, are
 not learnt from; without any learnable row every score is 0.5. Extra columns are ignored.
 """
 
@@ -159,12 +160,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Factorisa
             found = [features(t.as_py(), n.as_py()) for t, n in zip(b.column(0), b.column(1))]
             yield pa.RecordBatch.from_arrays([pa.array([f[0].astype(np.int32).tobytes() for f in found], pa.binary()), pa.array([f[1].astype(np.float32).tobytes() for f in found], pa.binary()), b.column(2)], names=["numbers", "vals", "label"])
 
+    row = F.struct(F.xxhash64("text").alias("h"), "text", F.col("n_chars").cast("long").alias("n_chars"), F.col("label").cast("int").alias("label"))
     rows = (
-        docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars"))
+        docs.select("doc_id", "text", "n_chars")
         .join(F.broadcast(chosen), "doc_id")
-        .dropDuplicates(["doc_id"])
-        .select("text", "n_chars", F.col("label").cast("int").alias("label"), "doc_id")
-        .select("text", "n_chars", "label")
+        .groupBy("doc_id")  # of texts that share an id the one with the least hash
+        .agg(F.min(row).alias("row"))
+        .select("row.text", "row.n_chars", "row.label")
         .mapInArrow(run, "numbers binary, vals binary, label int")
         .collect()
     )
@@ -183,7 +185,7 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     """(doc_id, held_out, score, predicted) of every document."""
     ship(docs.sparkSession)
     docs = _with_length(docs)
-    return _apply(docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars")), train(docs, labels, sample)).select(
+    return _apply(docs.select(F.col("doc_id").cast("long"), "text", F.col("n_chars").cast("long").alias("n_chars")), train(docs, labels, sample)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 

@@ -69,7 +69,7 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order.digest(training_order.materialise(_table(spark, sf_dir, "documents")))
+    return training_order.digest(_table(spark, sf_dir, "documents"))
 
 
 def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,10 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie of pieces with log scores.
 
+The public vocabulary file gives its pieces' ranks (0, -1, -2, ... as it was merged), not probabilities, and
+tokenizers are not trained here. So a piece's log score follows from its rank by the Zipf-Mandelbrot law, P(rank r)
+in proportion to 1 / (r + 2.7); a model file that gives log scores of its own is taken as it is. A rare piece costs
+more than a common one, but one long piece less than the several short ones it is made of.
+
 Normalisation is the whitespace marker alone: one marker before the text, and one for each space. A segment
 runs from a group of markers to the next one, or to a character that no piece holds; no piece crosses such a
 border, so the best path of a text is that of its segments in a row, and a worker keeps the segments it has
@@ -8,8 +13,8 @@ character is spelt in byte pieces. Equal scores go to the longer last piece. Dec
 byte pieces to bytes and markers to spaces, and drops the first space.
 
 Nulls and empty texts have no ids and decode to the empty text. A marker character that stood in the text is
-decoded as a space, so only such texts fail the round trip. Repeated rows are encoded each; extra columns are
-ignored.
+decoded as a space, so only such texts fail the round trip. A null doc_id is kept. Repeated rows are encoded each;
+extra columns are ignored. Very long texts are encoded whole, segment by segment. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,11 +25,13 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
+ZIPF_SHIFT = 2.7
 #: Segments a worker keeps before it starts anew.
 KEPT_SEGMENTS = 1_000_000
 SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, n_byte_pieces long, round_trip boolean"
@@ -36,8 +43,14 @@ def piece_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def zipf_scores(ranks: np.ndarray) -> np.ndarray:
+    """Log probabilities of pieces by rank (0 first)."""
+    weight = 1.0 / (np.asarray(ranks, np.float64) + 1 + ZIPF_SHIFT)
+    return np.log(weight / weight.sum())
+
+
 def load_pieces(path: str) -> tuple[list[tuple[str, int, float]], dict[int, int], int]:
-    """(piece, id, score) of ordinary pieces, byte -> id, and the unknown id of a model file."""
+    """(piece, id, log score) of ordinary pieces, byte -> id, and the unknown id of a model file."""
     import sentencepiece
 
     m = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -47,6 +60,11 @@ def load_pieces(path: str) -> tuple[list[tuple[str, int, float]], dict[int, int]
             bytes_[int(m.id_to_piece(i)[1:-1], 16)] = i
         elif not (m.is_control(i) or m.is_unknown(i) or m.is_unused(i)):
             ordinary.append((m.id_to_piece(i), i, m.get_score(i)))
+    scores = [s for *_, s in ordinary]
+    if scores and all(s == int(s) for s in scores):
+        order = sorted(range(len(ordinary)), key=lambda j: (-scores[j], ordinary[j][1]))
+        score = dict(zip(order, zipf_scores(np.arange(len(order))).tolist()))
+        ordinary = [(p, i, score[j]) for j, (p, i, _) in enumerate(ordinary)]
     return ordinary, bytes_, m.unk_id()
 
 
@@ -202,7 +220,7 @@ def _map(docs: DataFrame, path: str | None, schema: str, row) -> DataFrame:
             kinds = [pa.int64(), pa.list_(pa.int32())] if schema.endswith("array<int>") else [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in schema.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:

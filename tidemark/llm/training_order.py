@@ -1,32 +1,38 @@
 """Training-order materialisation: a keyed Feistel permutation gives every sequence its global slot.
 
-Documents are tokenised and packed once; each task numbers its own sequences, and the packed rows are
-checkpointed. From then on a task's sequences are fixed, so (tasks before it) + (number in the task) is a
-dense index. The permutation walks its cycle until it lands inside the number of sequences, so slots are
-dense as well. Range partitions of slots then hold consecutive shards; a shard is a file of fixed-stride
-records, and slot s lies in shard s div ``shard_slots`` at byte (s mod ``shard_slots``) x stride: a reader
-resumes at any slot by arithmetic alone.
-
-Nulls: a null text is an empty document, null doc_ids are kept. Repeated rows are sequences of their own. An
-empty table gives no slots. Extra columns are ignored.
+Documents are tokenised and packed once, and the packed rows are written to the shared checkpoint folder: each task
+numbers its own sequences, so (tasks before it) + (number in the task) is a dense index. The permutation walks its
+cycle until it lands inside the number of sequences, so slots are dense as well. Partitions are ranges of slots, by
+arithmetic, that hold whole shards. A shard is a file of ``shard_slots`` fixed-stride records in slot order: the
+number of ids (unsigned 32 bits), the ids (unsigned 16 bits each), padding, and a line feed. Slot s stands in shard
+s div ``shard_slots`` at byte (s mod ``shard_slots``) x stride, so a reader resumes at any slot by arithmetic alone.
+
+Shards are written by Spark's own writer with its commit protocol, so they may lie in any file system that Spark
+reaches, and a lost executor or repeated task leaves whole files only. The order depends on the key and on how the
+reader splits the files; it is fixed once the packed rows are written.
+
+Nulls: a null text is an empty document, null doc_ids are kept. Repeated rows are sequences of their own. Very long
+texts are many sequences. An empty table gives no slots. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import os
+import re
+import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import tokens
-from tidemark.llm.common import cut, ship, shuffle_width
-from tidemark.llm.packing import CAPACITY, SquarePacker, crc
+from tidemark.llm.common import Staged, checkpoint_folder, ship, shuffle_width
+from tidemark.llm.packing import CAPACITY, GROUP, crc, placed_again, windows_of
 
 ROUNDS = 4
 SHARD_SLOTS = 4096
 PAD_ID = 0
+_HEAD, _TAIL = 4, b"\n"
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -53,46 +59,37 @@ def feistel(index: np.ndarray, size: int, key: int, rounds: int = ROUNDS) -> np.
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
-    """Packed sequences: (task, number, doc_ids, starts, lengths, ids as unsigned 16-bit bytes)."""
-    ship(docs.sparkSession)
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+def stride(capacity: int = CAPACITY) -> int:
+    return _HEAD + 2 * capacity + len(_TAIL)
 
-    def run(batches):
-        from pyspark import TaskContext
 
-        encode, packer, task, number, rows = tokens.tokenizer(path).encode, SquarePacker(capacity), TaskContext.get().partitionId(), 0, []
+def record(ids: bytes, capacity: int = CAPACITY) -> bytes:
+    """Without its line feed, which the writer adds."""
+    return (len(ids) // 2).to_bytes(_HEAD, "little") + ids.ljust(2 * capacity, PAD_ID.to_bytes(1, "little"))
 
-        def take(windows):
-            nonlocal number
-            for w in windows:
-                rows.append((task, number, [p[0] for p in w], [p[1] for p in w], [len(p[2]) for p in w], b"".join(p[2].tobytes() for p in w)))
-                number += 1
 
-        def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["task", "number", "doc_ids", "starts", "lengths", "ids"])
-            rows.clear()
-            return batch
+_PACKED = "task long, number long, owners array<long>, starts array<long>, lengths array<long>, ids binary"
 
-        for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                take(packer.add(doc, encode(text.as_py())))
-                if len(rows) >= 1000:
-                    yield out()
-        take(packer.flush())
-        if rows:
-            yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "task long, number long, doc_ids array<long>, starts array<long>, lengths array<long>, ids binary")
+def sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
+    """Packed sequences (task, number, owners, starts, lengths, ids as unsigned 16-bit bytes), numbered densely within a task; groups of open windows count as tasks of their own."""
+    full, rest = windows_of(docs, capacity, path, True)
+
+    def again(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = [((1 << 40) + int(key[0]), i, [p[0] for p in w], [p[1] for p in w], [len(p[2]) for p in w], b"".join(p[2].tobytes() for p in w)) for i, w in enumerate(placed_again(rows, capacity))]
+        return pd.DataFrame(out, columns=[c.split()[0] for c in _PACKED.split(", ")])
 
+    placed = Staged(rest.groupBy(F.expr(f"task div {GROUP}").alias("g")).applyInPandas(again, _PACKED)).df
+    return full.select("task", "number", "owners", "starts", "lengths", "ids").unionByName(placed)
 
-def materialise(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS, path: str | None = None) -> DataFrame:
-    """Sequences in training order: (slot, shard, byte_offset, doc_ids, starts, lengths, ids), range-partitioned and sorted by slot.
 
-    The driver gets one count for each task that packed, never rows of sequences.
+def materialise(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS, path: str | None = None) -> tuple[DataFrame, int]:
+    """((slot, shard, byte_offset, doc_ids, starts, lengths, ids), number of slots).
+
+    The driver gets one count for each task that packed, never rows of sequences. Full windows are numbered before
+    open ones, so the largest number of a task's full windows counts them.
     """
-    spark = docs.sparkSession
-    packed = cut(sequences(docs, capacity, path))
+    packed = sequences(docs, capacity, path)
     counts = packed.groupBy("task").agg((F.max("number") + 1).alias("n")).orderBy("task").collect()
     tasks = np.array([r.task for r in counts], np.int64)
     before = np.concatenate(([0], np.cumsum([r.n for r in counts], dtype=np.int64))) if counts else np.zeros(1, np.int64)
@@ -100,67 +97,74 @@ def materialise(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY
 
     @F.pandas_udf("long")
     def slot(task, number):
-        import pandas as pd
-
         return pd.Series(feistel(before[np.searchsorted(tasks, task.to_numpy())] + number.to_numpy(), size, key))
 
-    parts = max(1, min(shuffle_width(spark), -(-size // shard_slots)))
-    return (
-        packed.withColumn("slot", slot("task", "number"))
-        .repartitionByRange(parts, "slot")
-        .sortWithinPartitions("slot")
-        .select(
-            "slot",
-            F.expr(f"slot div {shard_slots}").alias("shard"),
-            (F.col("slot") % shard_slots * (2 * capacity)).alias("byte_offset"),
-            "doc_ids",
-            "starts",
-            "lengths",
-            "ids",
-        )
+    ordered = packed.withColumn("slot", slot("task", "number")).select(
+        "slot",
+        F.expr(f"slot div {shard_slots}").alias("shard"),
+        (F.col("slot") % shard_slots * stride(capacity)).alias("byte_offset"),
+        F.col("owners").alias("doc_ids"),
+        "starts",
+        "lengths",
+        "ids",
     )
+    return ordered, size
 
 
-def write_shards(ordered: DataFrame, folder: str, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS) -> None:
-    """Write shard files ``shard-<number>.bin`` below a folder that all executors share, each by one task.
+def write_shards(ordered: DataFrame, size: int, folder: str, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS) -> int:
+    """Write the shards below ``folder``; the number of shards in each range (a partition's files)."""
+    shards = max(1, -(-size // shard_slots))
+    parts = min(max(shuffle_width(ordered.sparkSession), 1), shards)
+    each = -(-shards // parts)
 
-    A file is written beside its place and renamed, so a repeated or lost task leaves whole files only.
-    """
-    os.makedirs(folder, exist_ok=True)
-    stride = 2 * capacity
+    @F.pandas_udf("binary")
+    def lined(ids):
+        return ids.map(lambda b: record(bytes(b), capacity))
 
-    def write(batches):
-        import uuid
+    (
+        ordered.select("slot", "ids")
+        .repartitionById(-(-shards // each), F.expr(f"int(slot div {shard_slots * each})"))
+        .sortWithinPartitions("slot")
+        .select(lined("ids").cast("string").alias("value"))
+        .write.option("maxRecordsPerFile", shard_slots)
+        .text(folder)
+    )
+    return each
 
-        for b in batches:
-            b = b.sort_values("slot")
-            name = os.path.join(folder, f"shard-{int(b.shard.iloc[0]):08d}.bin")
-            with open(f"{name}.{uuid.uuid4().hex}", "wb") as f:
-                for ids in b.ids:
-                    f.write(bytes(ids).ljust(stride, PAD_ID.to_bytes(1, "little")))
-            os.replace(f.name, name)
-            yield b[["shard"]].iloc[:1]
 
-    ordered.select("shard", "slot", "ids").groupBy("shard").applyInPandas(lambda b: next(write([b])), "shard long").count()
+_NAME = re.compile(r"part-(\d+)-.*-c(\d+)")
 
 
-def read_slots(folder: str, first: int, count: int, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS) -> np.ndarray:
-    """``count`` records from slot ``first`` on, padded with the pad id; a reader resumes so."""
-    out = []
-    stride = 2 * capacity
-    for s in range(first, first + count):
-        with open(os.path.join(folder, f"shard-{s // shard_slots:08d}.bin"), "rb") as f:
-            f.seek(s % shard_slots * stride)
-            out.append(np.frombuffer(f.read(stride), "<u2"))
-    return np.array(out)
+def read_slots(spark: SparkSession, folder: str, each: int, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """(slot, shard, byte_offset, n_ids, ids) of the records of all shards."""
+    wide = stride(capacity)
 
+    def run(batches):
+        for b in batches:
+            for name, data in zip(b.path, b.content):
+                part, file = map(int, _NAME.search(name).groups())
+                shard = part * each + file
+                # a shard is cut in steps, so that a batch stays small
+                for at in range(0, len(data), 256 * wide):
+                    rows = [data[i : i + wide] for i in range(at, min(at + 256 * wide, len(data)), wide)]
+                    ids = [r[_HEAD : _HEAD + 2 * int.from_bytes(r[:_HEAD], "little")] for r in rows]
+                    first = at // wide
+                    yield pd.DataFrame({"slot": [shard * shard_slots + first + i for i in range(len(rows))], "shard": shard, "byte_offset": [at + i * wide for i in range(len(rows))], "n_ids": [len(x) // 2 for x in ids], "ids": ids})
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content").mapInPandas(run, "slot long, shard long, byte_offset long, n_ids long, ids binary")
 
-def digest(ordered: DataFrame) -> DataFrame:
-    """One row for each slot with the checksum of its ids."""
-    ship(ordered.sparkSession)
+
+def digest(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS, path: str | None = None, folder: str | None = None) -> DataFrame:
+    """Shards written to ``folder`` (default: a new one in the shared checkpoint folder) and read back: (slot, shard, byte_offset, n_ids, ids_crc32)."""
+    spark = docs.sparkSession
+    ship(spark)
+    checkpoint_folder(spark)
+    folder = folder or f"{spark.sparkContext.getCheckpointDir()}/shards-{uuid.uuid4().hex}"
+    ordered, size = materialise(docs, key, capacity, shard_slots, path)
+    each = write_shards(ordered, size, folder, capacity, shard_slots)
 
     @F.pandas_udf("long")
     def ids_crc32(ids):
         return ids.map(lambda b: crc(np.frombuffer(b, "<u2")))
 
-    return ordered.select("slot", "shard", "byte_offset", "doc_ids", "starts", "lengths", ids_crc32("ids").alias("ids_crc32"))
+    return read_slots(spark, folder, each, capacity, shard_slots).select("slot", "shard", "byte_offset", "n_ids", ids_crc32("ids").alias("ids_crc32"))
