@@ -3,7 +3,7 @@
 Each remainder of a document (its whole windows are cut off first) goes to the fill level that minimises the sum of
 squared counts of partly filled windows; the counts stand in an array by level. Each task packs the documents it
 reads and holds open windows only. Those that are open at its end are placed once more, as they are, by the same
-rule: the windows of 64 tasks meet in a group, so how many sequences are packed by the rule does not hang on how
+rule: the windows of 8 tasks meet in a group, so how many sequences are packed by the rule does not hang on how
 the reader splits its files. What is open after that is laid end to end into whole windows, and the last remainder
 of a group becomes sequences whose lengths are powers of two, which need no padding.
 
@@ -31,7 +31,7 @@ from tidemark.llm.common import Staged, ship
 
 CAPACITY = 2048
 #: Tasks whose open windows meet.
-GROUP = 64
+GROUP = 8
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 

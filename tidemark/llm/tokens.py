@@ -1,8 +1,9 @@
 """Document token ids of the word-level BPE vocabulary, encoded once per distinct white-space chunk.
 
 The vocabulary's rules drop white space and look at nothing beyond it, so the ids of a text are those of its
-chunks in a row. They also lower every letter, and part a run of stops and commas from a letter or digit before
-it, so ASCII capitals are lowered and such runs at a chunk's end cut off first, which leaves fewer chunks. A
+chunks in a row. They also lower every letter, and part a run of signs from a letter or digit before it, so ASCII
+capitals are lowered and runs of ASCII signs (but the apostrophe) at a chunk's end cut off first, which leaves
+fewer chunks. A
 worker keeps the chunks it has seen (a bounded number) and hands only new ones to the tokenizer library. Added
 tokens are matched in the raw text, so a text that holds the string of one is given to the library whole.
 """
@@ -19,8 +20,9 @@ import numpy as np
 KEPT_CHUNKS = 1_200_000
 END_ID = 1
 #: Characters of the texts whose new chunks go to the library in one call.
-_PART_CHARS = 1 << 19
-_END_STOPS = re.compile(rb"(?<=[a-z0-9])[.,]+(?=\s|\Z)")
+_PART_CHARS = 1 << 14
+_LETTER = rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))"  # the second: accented Latin letters
+_END_STOPS = re.compile(_LETTER + rb"[!-&(-/:-@\[-`{-~]+(?=\s|\Z)")
 
 _LOADED: dict[str, "ChunkTokenizer"] = {}
 

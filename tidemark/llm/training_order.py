@@ -30,7 +30,7 @@ from tidemark.llm.common import Staged, checkpoint_folder, ship, shuffle_width
 from tidemark.llm.packing import CAPACITY, GROUP, crc, placed_again, windows_of
 
 ROUNDS = 4
-SHARD_SLOTS = 4096
+SHARD_SLOTS = 1024
 PAD_ID = 0
 _HEAD, _TAIL = 4, b"\n"
 
@@ -63,9 +63,11 @@ def stride(capacity: int = CAPACITY) -> int:
     return _HEAD + 2 * capacity + len(_TAIL)
 
 
-def record(ids: bytes, capacity: int = CAPACITY) -> bytes:
+def _record(capacity: int):
     """Without its line feed, which the writer adds."""
-    return (len(ids) // 2).to_bytes(_HEAD, "little") + ids.ljust(2 * capacity, PAD_ID.to_bytes(1, "little"))
+    byte = lambda c: F.lpad(F.hex(c.cast("long")), 2, "0")
+    head = F.unhex(F.concat(*[byte(F.expr(f"shiftright(octet_length(ids) div 2, {8 * i}) & 255")) for i in range(_HEAD)]))
+    return F.concat(head, F.rpad(F.col("ids"), 2 * capacity, F.lit(PAD_ID.to_bytes(1, "little"))))
 
 
 _PACKED = "task long, number long, owners array<long>, starts array<long>, lengths array<long>, ids binary"
@@ -117,15 +119,11 @@ def write_shards(ordered: DataFrame, size: int, folder: str, capacity: int = CAP
     parts = min(max(shuffle_width(ordered.sparkSession), 1), shards)
     each = -(-shards // parts)
 
-    @F.pandas_udf("binary")
-    def lined(ids):
-        return ids.map(lambda b: record(bytes(b), capacity))
-
     (
         ordered.select("slot", "ids")
         .repartitionById(-(-shards // each), F.expr(f"int(slot div {shard_slots * each})"))
         .sortWithinPartitions("slot")
-        .select(lined("ids").cast("string").alias("value"))
+        .select(_record(capacity).cast("string").alias("value"))
         .write.option("maxRecordsPerFile", shard_slots)
         .text(folder)
     )
@@ -135,23 +133,27 @@ def write_shards(ordered: DataFrame, size: int, folder: str, capacity: int = CAP
 _NAME = re.compile(r"part-(\d+)-.*-c(\d+)")
 
 
-def read_slots(spark: SparkSession, folder: str, each: int, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """(slot, shard, byte_offset, n_ids, ids) of the records of all shards."""
+def read_slots(spark: SparkSession, folder: str, each: int, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS, with_ids: bool = True) -> DataFrame:
+    """(slot, shard, byte_offset, n_ids, ids_crc32, and ``with_ids`` ids) of the records of all shards."""
     wide = stride(capacity)
+    names = ["slot", "shard", "byte_offset", "n_ids", "ids_crc32", *(["ids"] if with_ids else [])]
 
     def run(batches):
         for b in batches:
-            for name, data in zip(b.path, b.content):
+            for name, data in zip(b.column("path").to_pylist(), b.column("content")):
                 part, file = map(int, _NAME.search(name).groups())
-                shard = part * each + file
+                shard, data = part * each + file, memoryview(data.as_buffer())
                 # a shard is cut in steps, so that a batch stays small
                 for at in range(0, len(data), 256 * wide):
-                    rows = [data[i : i + wide] for i in range(at, min(at + 256 * wide, len(data)), wide)]
-                    ids = [r[_HEAD : _HEAD + 2 * int.from_bytes(r[:_HEAD], "little")] for r in rows]
-                    first = at // wide
-                    yield pd.DataFrame({"slot": [shard * shard_slots + first + i for i in range(len(rows))], "shard": shard, "byte_offset": [at + i * wide for i in range(len(rows))], "n_ids": [len(x) // 2 for x in ids], "ids": ids})
+                    places = range(at, min(at + 256 * wide, len(data)), wide)
+                    ids = [bytes(data[i + _HEAD : i + _HEAD + 2 * int.from_bytes(data[i : i + _HEAD], "little")]) for i in places]
+                    first = shard * shard_slots + at // wide
+                    cols = [range(first, first + len(ids)), [shard] * len(ids), places, [len(x) // 2 for x in ids], [crc(np.frombuffer(x, "<u2")) for x in ids]]
+                    arrays = [pa.array(c, pa.int64()) for c in cols] + ([pa.array(ids, pa.binary())] if with_ids else [])
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content").mapInPandas(run, "slot long, shard long, byte_offset long, n_ids long, ids binary")
+    schema = ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in names)
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content").mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS, path: str | None = None, folder: str | None = None) -> DataFrame:
@@ -162,9 +164,4 @@ def digest(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY, sha
     folder = folder or f"{spark.sparkContext.getCheckpointDir()}/shards-{uuid.uuid4().hex}"
     ordered, size = materialise(docs, key, capacity, shard_slots, path)
     each = write_shards(ordered, size, folder, capacity, shard_slots)
-
-    @F.pandas_udf("long")
-    def ids_crc32(ids):
-        return ids.map(lambda b: crc(np.frombuffer(b, "<u2")))
-
-    return read_slots(spark, folder, each, capacity, shard_slots).select("slot", "shard", "byte_offset", "n_ids", ids_crc32("ids").alias("ids_crc32"))
+    return read_slots(spark, folder, each, capacity, shard_slots, with_ids=False)
