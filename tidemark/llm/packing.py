@@ -113,13 +113,13 @@ def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool)
     def run(batches):
         from pyspark import TaskContext
 
-        encode, packer, task, rows, number = tokens.tokenizer(path).encode_all, SquarePacker(capacity), TaskContext.get().partitionId(), [], 0
+        encode, packer, task, rows, number = tokens.tokenizer(path).encode, SquarePacker(capacity), TaskContext.get().partitionId(), [], 0
 
         def take(windows, full=True):
             nonlocal number
             for w in windows:
                 ids = b"".join(p[2].tobytes() for p in w) if with_ids or not full else None
-                rows.append((task, number, full, [p[0] for p in w], [p[1] for p in w], [p[3] for p in w], [len(p[2]) for p in w], [crc(p[2]) for p in w] if full else None, ids))
+                rows.append((task, number, full, [p[0] for p in w], [p[1] for p in w], [p[3] for p in w], [len(p[2]) for p in w], [crc(p[2]) for p in w] if full and not with_ids else None, ids))
                 number += 1
 
         def out():
@@ -128,8 +128,8 @@ def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool)
             return batch
 
         for b in batches:
-            for doc, ids in zip(b.column(0).to_pylist(), encode(t.as_py() for t in b.column(1))):
-                take(packer.add(doc, ids))
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary())):
+                take(packer.add(doc, encode(text.as_py())))
                 if len(rows) >= 2000:
                     yield out()
         take(packer.windows(), full=False)

@@ -1,9 +1,8 @@
 """Document token ids of the word-level BPE vocabulary, encoded once per distinct white-space chunk.
 
 The vocabulary's rules drop white space and look at nothing beyond it, so the ids of a text are those of its
-chunks in a row. They also lower every letter, and part a run of signs from a letter or digit before it, so ASCII
-capitals are lowered and runs of ASCII signs (but the apostrophe) at a chunk's end cut off first, which leaves
-fewer chunks. A
+chunks in a row. They also lower every letter, and part a run of stops and commas from a letter or digit before
+it, so ASCII capitals are lowered and such runs at a chunk's end cut off first, which leaves fewer chunks. A
 worker keeps the chunks it has seen (a bounded number) and hands only new ones to the tokenizer library. Added
 tokens are matched in the raw text, so a text that holds the string of one is given to the library whole.
 """
@@ -12,17 +11,13 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
 
 import numpy as np
 
 #: Chunks a worker keeps before it starts anew; bounds its memory to some 250 MB.
 KEPT_CHUNKS = 1_200_000
 END_ID = 1
-#: Characters of the texts whose new chunks go to the library in one call.
-_PART_CHARS = 1 << 14
-_LETTER = rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))"  # the second: accented Latin letters
-_END_STOPS = re.compile(_LETTER + rb"[!-&(-/:-@\[-`{-~]+(?=\s|\Z)")
+_END_STOPS = re.compile(rb"(?<=[a-z0-9])[.,]+(?=\s|\Z)")
 
 _LOADED: dict[str, "ChunkTokenizer"] = {}
 
@@ -43,56 +38,46 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("the vocabulary needs more than 16 bits an id")
-        self.seen = _Seen()
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of the text, then the end id; a null text counts as empty."""
-        return next(self.encode_all([text]))
-
-    def encode_all(self, texts) -> Iterator[np.ndarray]:
-        """The same of each text, with one call of the library for some texts' new chunks."""
-        part, size = [], 0
-        for t in texts:
-            part.append(t or "")
-            size += len(part[-1])
-            if size > _PART_CHARS:
-                yield from self._part(part)
-                part, size = [], 0
-        yield from self._part(part)
-
-    def _part(self, texts: list[str]) -> Iterator[np.ndarray]:
-        seen, end = self.seen, END_ID.to_bytes(2, "little")
-        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        chunks = [[] if i in whole else _END_STOPS.sub(rb" \g<0>", t.encode("utf-8", "replace").lower()).split() for i, t in enumerate(texts)]
-        packed = [b"".join(map(seen.__getitem__, c)) for c in chunks]
-        if seen.missing:
-            new = list(seen.missing)
+        self.seen: dict[bytes, bytes] = {}
+
+    def encode(self, text: str | bytes | None) -> np.ndarray:
+        """Ids of the text (a string or its UTF-8 bytes), then the end id; a null text counts as empty."""
+        data = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
+        if any(a in data for a in self.added):
+            return np.array([*self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, END_ID], "<u2")
+        chunks = _parted(data.lower()).split()
+        seen = self.seen
+        try:
+            packed = b"".join(map(seen.__getitem__, chunks))
+        except KeyError:
+            new = list({c for c in chunks if c not in seen})
             if len(seen) + len(new) > KEPT_CHUNKS:
                 seen.clear()
-                new = list({c for x in chunks for c in x})
-            for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)):
+                new = list(set(chunks))
+            for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)):
                 seen[c] = array("H", e.ids).tobytes()
-            seen.missing.clear()
-            packed = [b"".join(map(seen.__getitem__, c)) for c in chunks]
-        for i, p in enumerate(packed):
-            if i in whole:
-                p = array("H", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
-            yield np.frombuffer(p + end, "<u2")
+            packed = b"".join(map(seen.__getitem__, chunks))
+        return np.frombuffer(packed + END_ID.to_bytes(2, "little"), "<u2")
 
 
-class _Seen(dict):
-    """Chunk -> ids; notes the chunks that were asked for and are not there."""
+def _parted(data: bytes) -> bytes:
+    """Lower-case text whose stops and commas stand apart from the words before them.
 
-    def __init__(self):
-        super().__init__()
-        self.missing: set[bytes] = set()
+    Plain replacements do that, unless some stop follows a sign or a letter beyond ASCII, where it must stay.
+    """
+    kinds = data.translate(_KINDS)
+    if b"#." in kinds or b".." in kinds:
+        return _END_STOPS.sub(rb" \g<0>", data)
+    for old, new in ((b". ", b" . "), (b", ", b" , "), (b".\n", b" .\n"), (b",\n", b" ,\n")):
+        data = data.replace(old, new)
+    return data
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        self.missing.add(chunk)
-        return b""
+
+#: A byte's kind: letter or digit, stop or comma, white space, or another.
+_KINDS = bytes(ord("a") if c in b"abcdefghijklmnopqrstuvwxyz0123456789" else ord(".") if c in b".," else ord(" ") if c in b" \t\n\r\v\f" else ord("#") for c in range(256))
 
 
 def tokenizer(path: str | None = None) -> ChunkTokenizer:
