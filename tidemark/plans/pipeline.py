@@ -1,44 +1,44 @@
-"""The writer's loop: schema changes first, then one table's batch of files, merged, appended or reconciled."""
+"""The writer's loop: schema changes first, then one table's batch of files, merged, appended or reconciled.
+
+A commit names the files it holds, so a batch that is tried again after a crash adds none of them twice.
+"""
 
 from __future__ import annotations
 
-import os
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import ddl
 from tidemark.operators.resync import resync_deletes, resync_upserts
 from tidemark.plans import control
 from tidemark.plans.config import Settings
+from tidemark.plans.files import exists
+from tidemark.plans.store import Store
 from tidemark.plans.table import Catalog
 
-_FILES = "file_id string, table_schema string, table_name string, file_type string, file_path string, lsn_low long, lsn_high long, partition_id long, status string, created_at double, retry_count long"
-_TABLES = "table_schema string, table_name string, phase string, needs_resync long"
-_EVENTS = "event_id long, target_schema string, target_table string, ddl_lsn long, status string"
-
 
 class Writer:
-    def __init__(self, spark: SparkSession, store: control.Store, catalog: Catalog, settings: Settings | None = None):
+    def __init__(self, spark: SparkSession, store: Store, catalog: Catalog, settings: Settings | None = None):
         self.spark, self.store, self.catalog, self.settings = spark, store, catalog, settings or Settings()
 
     def apply_ddl(self) -> int:
-        """Pending schema changes, oldest first; one that can't be applied is marked failed."""
+        """Pending schema changes, oldest first; one that can't be applied is marked failed and holds its table's later files."""
         done = 0
-        for e in self.store.rows("SELECT * FROM ddl_events WHERE status = 'pending' ORDER BY event_id"):
-            if not self.store.claim_ddl(e["event_id"], time.time()):
+        for e in self.store.rows("SELECT * FROM schema_change WHERE outcome = 'pending' ORDER BY number"):
+            if not self.store.take_change(e["number"], time.time()):
                 continue
             try:
-                status = self._one_ddl(e)
-                self.store.finish_ddl(e["event_id"], status, time.time())
-                done += status == "applied"
+                outcome = self._one_ddl(e)
+                self.store.settle_change(e["number"], outcome, time.time())
+                done += outcome == "applied"
             except Exception as x:
-                self.store.finish_ddl(e["event_id"], "failed", time.time(), str(x))
+                self.store.settle_change(e["number"], "failed", time.time(), str(x))
         return done
 
     def _one_ddl(self, e: dict) -> str:
-        tag, sql = e["ddl_tag"].upper(), e["ddl_sql"]
+        tag, sql = e["tag"].upper(), e["statement"]
         if tag in ddl.SKIPPED_TAGS:
             return "skipped"
         if tag == "DROP TABLE":
@@ -51,54 +51,63 @@ class Writer:
             column = path.pop() if kind == "column" else None
             self.catalog.table(path[-2] if len(path) > 1 else "public", path[-1]).comment(text, column)
             return "applied"
-        table = self.catalog.table(e["target_schema"], e["target_table"])
+        table = self.catalog.table(e["namespace"], e["name"])
         if not table.exists():
             return "skipped"
         table.alter(ddl.parse_alter(sql))
         return "applied"
 
+    def key(self, namespace: str, name: str, catalog: list[str] = ()) -> list[str]:
+        """The table's key: the settings', else the store's, else the source catalogue's."""
+        known = self.store.table(namespace, name)
+        return control.resolve_pk(self.settings.tables.get(f"{namespace}.{name}", []), known["key_columns"] if known else [], list(catalog))
+
     def step(self) -> int:
         """Take one batch; the number of files it completed."""
         self.apply_ddl()
         self.store.promote()
-        files = self.store.frame(self.spark, "file_queue", _FILES)
-        ready = control.eligible(files, self.store.frame(self.spark, "table_state", _TABLES), self.store.frame(self.spark, "ddl_events", _EVENTS))
-        state = {(r["table_schema"], r["table_name"]): r for r in self.store.rows("SELECT * FROM table_state")}
+        ready = control.eligible(self.store.files(self.spark), self.store.tables(self.spark), self.store.changes(self.spark))
         rows = control.next_batch(ready, self.settings.files_per_batch).collect()
         if not rows:
             return 0
         at = (rows[0].table_schema, rows[0].table_name)
-        if state[at]["needs_resync"]:  # a resync needs the whole export
-            if state[at]["phase"] not in ("backfill_complete", "streaming"):
+        table = self.store.table(*at)
+        if table["reconcile"]:  # needs the whole export
+            if table["stage"] not in ("backfill_complete", "streaming"):
                 return 0
             rows = ready.where((F.col("table_schema") == at[0]) & (F.col("table_name") == at[1]) & (F.col("file_type") == "backfill")).collect()
-        taken = set(self.store.claim([r.file_id for r in rows], time.time()))
+        taken = set(self.store.lease([r.file_id for r in rows], time.time()))
         rows = [r for r in rows if r.file_id in taken]
         if not rows:
             return 0
         try:
-            self._commit(at, rows, bool(state[at]["needs_resync"]))
+            self._commit(at, rows, bool(table["reconcile"]))
         except Exception as x:
-            self.store.fail([r.file_id for r in rows], str(x)[:500], self.settings.max_retries)
+            self.store.release([r.file_id for r in rows], str(x)[:500], self.settings.max_retries)
             raise
         self.store.complete([r.file_id for r in rows], time.time())
         highs = [r.lsn_high for r in rows if r.lsn_high is not None]
-        self.store.committed(*at, len(rows), max(highs) if highs else None)
+        self.store.merged(*at, len(rows), max(highs) if highs else None)
         self.store.promote()
         return len(rows)
 
-    def _commit(self, at: tuple[str, str], rows: list, resync: bool) -> None:
-        missing = [r.file_path for r in rows if not os.path.exists(r.file_path)]
+    def _read(self, rows: list) -> DataFrame:
+        return self.spark.read.option("mergeSchema", "true").parquet(*[r.file_path for r in rows])
+
+    def _commit(self, at: tuple[str, str], rows: list, reconcile: bool) -> None:
+        table = self.catalog.table(*at)
+        there = table.state()["merged"]
+        fresh = [r for r in rows if r.file_id not in there]
+        missing = [r.file_path for r in fresh if not exists(self.spark, r.file_path)]
         if missing:
             raise FileNotFoundError(f"staged files are missing: {missing[:3]}")
-        table = self.catalog.table(*at)
-        df = self.spark.read.option("mergeSchema", "true").parquet(*[r.file_path for r in rows])
-        if rows[0].file_type == "cdc":
-            table.merge(df)
-        elif resync:
-            old = table.read()
-            new = df.select(*old.columns) if set(old.columns) <= set(df.columns) else df
-            table.apply(resync_upserts(old, new, table.pk), resync_deletes(old, new, table.pk))
-            self.store.request_resync(*at, needed=False)
-        else:
-            table.append(df)
+        held = {"numbers": [r.file_id for r in rows], "open_from": self.store.open_from(*at)}
+        if fresh and rows[0].file_type == "cdc":
+            table.merge(self._read(fresh), held=held)
+        elif fresh and reconcile:
+            old, new = table.read(), self._read(rows)
+            table.apply(resync_upserts(old, new, table.pk), resync_deletes(old, new, table.pk), held=held)
+        elif fresh:
+            table.append(self._read(fresh), held=held)
+        if reconcile:
+            self.store.reconcile(*at, needed=False)

@@ -6,8 +6,9 @@ transaction, every tenth of which (number 3 of 10) is aborted. ``orders`` gives
 
 from __future__ import annotations
 
-import os
 import tempfile
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from tidemark.functions import ddl, lsn, types
 from tidemark.operators import changelog, merge, resync
 from tidemark.plans import control
 from tidemark.plans.table import Catalog
-from tidemark.sources import scan
+from tidemark.sources import frames, scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -176,12 +177,11 @@ def resync_old_with_deletes(spark, d):
 
 
 def _warehouse(spark: SparkSession) -> Catalog:
-    """A new folder in the shared checkpoint folder, or a local one where there is none."""
+    """A new folder in the shared checkpoint folder, whatever its file system; a local one only where there is none and the master is local."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    root = shared.removeprefix("file://") if shared and (shared.startswith("file://") or "://" not in shared) else None
-    if root:
-        os.makedirs(root, exist_ok=True)
-    return Catalog(spark, tempfile.mkdtemp(prefix="tidemark-", dir=root))
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("a cluster needs spark.checkpoint.dir, a folder that its machines share")
+    return Catalog(spark, f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="tidemark-"))
 
 
 def _order_table(spark, d):
@@ -231,10 +231,10 @@ def stream_merge_state(spark, d):
     from tidemark.streaming.merge_stream import changes, merge_into
 
     catalog = _warehouse(spark)
-    staged, e = os.path.join(catalog.root, "staged"), _events(spark, d)
+    staged, e = f"{catalog.root}/staged", _events(spark, d)
     e.repartitionByRange(4, "_seq").write.parquet(staged)
     t = catalog.create("public", "users", e.drop(*merge.META).schema, ["user_id"])
-    q = merge_into(changes(spark, staged, e.schema, 100), t, os.path.join(catalog.root, "checkpoint"), "users")
+    q = merge_into(changes(spark, staged, e.schema, 100), t, f"{catalog.root}/checkpoint", "users")
     q.awaitTermination()
     return t.read()
 
@@ -244,9 +244,12 @@ def scan_partition_plan(spark, d):
     return scan.plan_frame(spark, 100, 7)
 
 
-@query("SELECT o_orderkey // 500 AS part, count(*) AS n FROM orders GROUP BY 1")
+@query("SELECT least(o_orderkey // 500, (SELECT (max(o_orderkey) * 9 // 10 + 499) // 500 - 1 FROM orders)) AS part, count(*) AS n FROM orders GROUP BY 1")
 def scan_partition_assignment(spark, d):
-    return _t(spark, d, "orders").groupBy(F.expr("o_orderkey div 500").alias("part")).agg(F.count("*").alias("n"))
+    """Keys stand for pages, 10 rows each; the plan knows nine tenths of them, so the last range is open-ended."""
+    o = _t(spark, d, "orders")
+    pages = o.agg(F.max("o_orderkey")).first()[0] * 9 // 10
+    return scan.assign(o, "o_orderkey", scan.plan(pages, 10, 5000)).groupBy("part").agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT _seq, user_id, xid, commit_lsn FROM {_X} WHERE xid % 10 <> 3")
@@ -357,7 +360,7 @@ def _queue(spark, d):
     tables = n.select(F.lit("public").alias("table_schema"), F.concat(F.lit("t"), F.col("n_nationkey").cast("string")).alias("table_name"), F.when(F.col("n_nationkey") % 4 == 3, "backfill_complete").otherwise("streaming").alias("phase"))
     events = n.where("n_nationkey % 6 = 1").select(
         F.lit("public").alias("target_schema"), F.concat(F.lit("t"), F.col("n_nationkey").cast("string")).alias("target_table"),
-        F.when(F.col("n_nationkey") != 13, F.lit(40_000).cast("long")).alias("ddl_lsn"), F.when(F.col("n_nationkey") == 19, "applied").otherwise("pending").alias("status"),
+        F.when(F.col("n_nationkey") != 13, F.lit(40_000).cast("long")).alias("ddl_lsn"), F.when(F.col("n_nationkey") == 19, "applied").when(F.col("n_nationkey") == 7, "failed").otherwise("pending").alias("status"),
     )
     return files, tables, events
 
@@ -371,7 +374,7 @@ WITH files AS (
 ), tables AS (
   SELECT 't' || n_nationkey AS table_name, CASE WHEN n_nationkey % 4 = 3 THEN 'backfill_complete' ELSE 'streaming' END AS phase FROM nation
 ), ddl AS (
-  SELECT 't' || n_nationkey AS table_name, CASE WHEN n_nationkey <> 13 THEN 40000 END AS ddl_lsn FROM nation WHERE n_nationkey % 6 = 1 AND n_nationkey <> 19
+  SELECT 't' || n_nationkey AS table_name, CASE WHEN n_nationkey <> 13 THEN 40000 END AS ddl_lsn, CASE n_nationkey WHEN 19 THEN 'applied' WHEN 7 THEN 'failed' ELSE 'pending' END AS status FROM nation WHERE n_nationkey % 6 = 1 AND status IN ('pending', 'applying', 'failed')
 ), eligible AS (
   SELECT f.* FROM files f JOIN tables t USING (table_name) WHERE f.status = 'pending' AND (f.file_type = 'backfill' OR (t.phase = 'streaming'
     AND NOT EXISTS (SELECT 1 FROM files b WHERE b.table_name = f.table_name AND b.file_type = 'backfill' AND b.status IN ('pending', 'processing'))
@@ -398,6 +401,13 @@ def ddl_gate_blocked_files(spark, d):
     return control.ddl_gate(files, events).select("file_id")
 
 
+@query(_QUEUE + "SELECT DISTINCT file_id FROM files f JOIN ddl USING (table_name) WHERE file_type = 'cdc' AND ddl.status = 'failed' AND ddl_lsn < lsn_low")
+def ddl_failed_blocks(spark, d):
+    """Files that only a failed schema change holds back."""
+    files, _, events = _queue(spark, d)
+    return control.ddl_gate(files, events.where("status = 'failed'")).select("file_id")
+
+
 @query(_QUEUE + "SELECT table_name FROM tables t WHERE phase = 'backfill_complete' AND NOT EXISTS (SELECT 1 FROM files f WHERE f.table_name = t.table_name AND file_type = 'backfill' AND status IN ('pending', 'processing', 'failed'))")
 def promote_ready_tables(spark, d):
     files, tables, _ = _queue(spark, d)
@@ -445,7 +455,7 @@ def table_state_upsert(spark, d):
 @query(f"SELECT greatest(max(commit_lsn), 16800000) AS flushed FROM {_X} WHERE xid % 10 <> 3")
 def flushed_lsn_max(spark, d):
     x = _txn(spark, d)
-    return _commits(x).agg(F.greatest(F.max("commit_lsn"), F.lit(16_800_000).cast("long")).alias("flushed"))
+    return _commits(x).agg(control.advance(F.lit(16_800_000).cast("long"), F.max("commit_lsn")).alias("flushed"))
 
 
 @query(f"SELECT 'f' || o_orderkey || '.parquet' AS path FROM orders WHERE o_orderdate < TIMESTAMP '{_NOW}' - INTERVAL 1 HOUR AND o_orderkey % 2 = 1 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -496,3 +506,119 @@ SELECT * FROM (VALUES ('ALTER TABLE users ADD COLUMN age INT', 'add', 'age', 'in
 def ddl_parse_changes(spark, d):
     texts = ["ALTER TABLE users ADD COLUMN age INT", "ALTER TABLE users DROP COLUMN email", "ALTER TABLE users ALTER COLUMN name TYPE varchar(255)", "ALTER TABLE users RENAME TO customers"]
     return spark.createDataFrame([(s, c.kind, c.column, types.lake_type(c.type) if c.type else None) for s in texts for c in ddl.parse_alter(s)], "sql string, kind string, name string, lake string")
+
+
+def _int(x, size: int):
+    return F.unhex(F.lpad(F.hex((x if not isinstance(x, int) else F.lit(x)).cast("long")), 2 * size, "0"))
+
+
+def _text(x):
+    """A column of a row message: its text, or nothing for NULL."""
+    data = x.cast("string").cast("binary")
+    return F.when(x.isNull(), F.lit(b"n")).otherwise(F.concat(F.lit(b"t"), _int(F.octet_length(data), 4), data))
+
+
+_USERS = [("user_id", "bigint"), ("event_type", "string"), ("value", "double"), ("props", "string")]
+
+
+def _frames(spark, d):
+    """``events`` as a log: a relation message, then transactions of 50 rows; every tenth is streamed in a block and aborted. Every third update leaves ``props`` as it was."""
+    e = _txn(spark, d).withColumn("at", F.col("xid") * 1000 + 100)
+    aborted, end = F.col("xid") % 10 == 3, F.lit(_BASE) + (F.col("xid") + 1) * 4096
+    head = F.when(aborted, _int(F.col("xid"), 4)).otherwise(F.lit(b""))
+    sent = [_text(F.col(c)) for c, _ in _USERS[:3]]
+    same = (F.col("_op") == "U") & (F.col("_seq") % 3 == 0)
+    full = F.concat(_int(4, 2), *sent, F.when(same, F.lit(b"u")).otherwise(_text(F.col("props"))))
+    keyed = F.concat(_int(4, 2), sent[0], F.lit(b"nnn"))
+    body = F.when(F.col("_op") == "I", F.concat(F.lit(b"I"), head, _int(77, 4), F.lit(b"N"), full)).when(F.col("_op") == "D", F.concat(F.lit(b"D"), head, _int(77, 4), F.lit(b"K"), keyed)).otherwise(F.concat(F.lit(b"U"), head, _int(77, 4), F.lit(b"N"), full))
+    rows = e.select((F.col("at") + F.col("_seq") % 50).alias("frame_idx"), body.alias("data"))
+    stamp = F.col("ts") - 946_684_800_000_000
+    of = e.groupBy("xid", "at").agg(F.max("_ts").alias("ts"))
+    begin = F.when(aborted, F.concat(F.lit(b"S"), _int(F.col("xid"), 4), _int(1, 1))).otherwise(F.concat(F.lit(b"B"), _int(end, 8), _int(stamp, 8), _int(F.col("xid"), 4)))
+    close = F.when(aborted, F.lit(b"E")).otherwise(F.concat(F.lit(b"C"), _int(0, 1), _int(end - 8, 8), _int(end, 8), _int(stamp, 8)))
+    abort = F.concat(F.lit(b"A"), _int(F.col("xid"), 4), _int(F.col("xid"), 4))
+    edges = of.select((F.col("at") - 1).alias("frame_idx"), begin.alias("data")).unionByName(of.select((F.col("at") + 50).alias("frame_idx"), close.alias("data"))).unionByName(of.where(aborted).select((F.col("at") + 51).alias("frame_idx"), abort.alias("data")))
+    column = lambda name, key, oid: bytes([key]) + name.encode() + b"\0" + oid.to_bytes(4, "big") + b"\xff\xff\xff\xff"
+    relation = b"R" + (77).to_bytes(4, "big") + b"public\0users\0d" + (4).to_bytes(2, "big") + b"".join(column(c, int(c == "user_id"), {"bigint": 20, "string": 25, "double": 701}[k]) for c, k in _USERS)
+    first = spark.range(1).select(F.lit(0).cast("long").alias("frame_idx"), F.lit(relation).alias("data"))
+    return first.unionByName(rows).unionByName(edges).withColumn("wal_start", F.col("frame_idx") * 16)
+
+
+def _replayed(spark, log):
+    """Frames to typed changes, ranked in commit order, merged into a table, and read."""
+    typed = frames.changes(frames.committed_rows(log), "public.users", _USERS)
+    ranked = changelog.assign_sequence(typed.withColumn("bucket", F.expr("commit_lsn div 65536")), 0, ["commit_lsn", "frame_idx", "part"], "bucket")
+    t = _warehouse(spark).create("public", "users", typed.select(*[c for c, _ in _USERS]).schema, ["user_id"])
+    t.merge(ranked.drop("xid", "commit_lsn", "frame_idx", "part", "bucket"))
+    return t.read()
+
+
+def _frames_sql(bound: str) -> str:
+    return f"""
+WITH c AS (SELECT *, (_op = 'U' AND _seq % 3 = 0) AS same, max(_ts) OVER (PARTITION BY _seq // 50) AS moment FROM {_L} WHERE (_seq // 50) % 10 <> 3 AND {bound}),
+known AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY moment, _seq) AS g FROM c),
+filled AS (SELECT *, CASE WHEN g = 0 THEN NULL ELSE first_value(CASE WHEN _op = 'D' THEN NULL ELSE props END) OVER (PARTITION BY user_id, g ORDER BY moment, _seq) END AS now,
+  row_number() OVER (PARTITION BY user_id ORDER BY moment DESC, _seq DESC) AS rn FROM known)
+SELECT user_id, event_type, value, now AS props FROM filled WHERE rn = 1 AND _op <> 'D'
+"""
+
+
+@query(_frames_sql("true"))
+def frames_to_state(spark, d):
+    return _replayed(spark, _frames(spark, d))
+
+
+@query(_frames_sql("_seq // 50 <= 100"))
+def frames_bounded_replay(spark, d):
+    """Up to a position between the ends of transactions 100 and 101."""
+    return _replayed(spark, frames.until(_frames(spark, d), _BASE + 101 * 4096 + 9))
+
+
+@query(f"SELECT _seq, user_id, _op, {_BASE} + (_seq // 50 + 1) * 4096 AS commit_lsn FROM {_L} WHERE (_seq // 50) % 10 <> 3")
+def frames_committed_rows(spark, d):
+    rows = frames.changes(frames.committed_rows(_frames(spark, d)), "public.users", _USERS)
+    return rows.select(F.expr("frame_idx div 1000 * 50 + frame_idx % 1000 - 100").alias("_seq"), "user_id", "_op", "commit_lsn")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE 'new' END AS o_orderpriority FROM orders
+""")
+def toast_patch_lake(spark, d):
+    """A batch that sends a third of the states and half of the priorities, and leaves the others as the table has them."""
+    from tidemark.operators.merge import SAME
+
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    t = _warehouse(spark).create("public", "orders", o.schema, ["o_orderkey"])
+    t.append(o)
+    k = F.col("o_orderkey")
+    same = F.filter(F.array(F.when(k % 3 != 0, "o_orderstatus"), F.when(k % 2 == 0, "o_orderpriority")), lambda x: x.isNotNull())
+    sent = o.select("o_orderkey", F.when(k % 3 == 0, "X").alias("o_orderstatus"), F.when(k % 2 != 0, "new").alias("o_orderpriority"), F.lit("U").alias("_op"), F.lit(1).cast("long").alias("_ts"), k.alias("_seq"), same.alias(SAME))
+    t.merge(sent)
+    return t.read()
+
+
+@query(f"SELECT * FROM {_OLD}")
+def writer_replay_state(spark, d):
+    """A writer that crashes between its commit and the file's completion, and is run again: nothing is added twice."""
+    import tempfile
+
+    from tidemark.plans.pipeline import Writer
+    from tidemark.plans.store import Store
+
+    old, _ = _snapshots(spark, d)
+    catalog, store = _warehouse(spark), Store(f"{tempfile.mkdtemp(prefix='tidemark-store-')}/control.db")
+    catalog.create("public", "orders", old.schema, ["o_orderkey"])
+    ranges = scan.plan(old.agg(F.max("o_orderkey")).first()[0] + 1, 10, 30_000)
+    store.put_table("public", "orders", ["o_orderkey"], len(ranges))
+    store.set_stage("public", "orders", "backfilling")
+    for number, path in scan.backfill(old, "o_orderkey", ranges, f"{catalog.root}/export"):
+        store.stage("public", "orders", "backfill", path, 0, time.time(), range_number=number)
+        store.range_done("public", "orders", number)
+    complete, store.complete = store.complete, lambda *_: None
+    Writer(spark, store, catalog).step()
+    store.complete = complete
+    store.reclaim(time.time() + 7200)
+    writer = Writer(spark, store, catalog)
+    while writer.step():
+        pass
+    return catalog.table("public", "orders").read().select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")

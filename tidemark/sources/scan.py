@@ -25,7 +25,23 @@ def plan_frame(spark: SparkSession, pages: int, step: int) -> DataFrame:
     return spark.range(0, max(pages, 1), max(step, 1)).select((F.col("id") / step).cast("long").alias("part"), F.col("id").alias("start_page"), F.least(F.col("id") + step, F.lit(pages)).alias("end_page"))
 
 
+def assign(rows: DataFrame, page: str, ranges: list[tuple[int, int, int]]) -> DataFrame:
+    """Each row with the ``part`` whose pages hold it; the last range is open-ended. Ranges are equally wide, as planned."""
+    step = max(1, ranges[0][2] - ranges[0][1])
+    return rows.withColumn("part", F.least(F.expr(f"`{page}` div {step}"), F.lit(len(ranges) - 1).cast("long")))
+
+
+def backfill(rows: DataFrame, page: str, ranges: list[tuple[int, int, int]], folder: str, done: set[int] = frozenset()) -> list[tuple[int, str]]:
+    """(range, path) of the ranges that were not done before, written as Parquet in one job, each to a folder of its own."""
+    left = [i for i, *_ in ranges if i not in done]
+    if not left:
+        return []
+    mine = assign(rows, page, ranges).where(F.col("part").isin(left))
+    mine.repartition(len(left), "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(folder)
+    return [(i, f"{folder}/part={i}") for i in left]
+
+
 def orphans(files: DataFrame, tracked: DataFrame, now: str, hours: int = 1) -> DataFrame:
-    """Parquet files nobody tracks that are older than ``hours``."""
+    """Parquet and spill files nobody tracks that are older than ``hours``."""
     old = F.col("modified") < F.lit(now).cast("timestamp") - F.make_interval(hours=F.lit(hours))
-    return files.where(F.col("path").endswith(".parquet") & old).join(tracked.select("path"), "path", "left_anti")
+    return files.where((F.col("path").endswith(".parquet") | F.col("path").endswith(".spill")) & old).join(tracked.select("path"), "path", "left_anti")
