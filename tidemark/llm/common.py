@@ -47,6 +47,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
     The shuffle files that led to the checkpoint are of no more use, so Spark is told to drop them when it is written.
+    Broadcasts that nothing refers to leave the executors' memory only when the driver collects garbage, which a
+    driver with little to do puts off for long, so that is asked for.
     """
     spark = df.sparkSession
     checkpoint_folder(spark)
@@ -56,6 +58,7 @@ def cut(df: DataFrame) -> DataFrame:
         return df.checkpoint()
     finally:
         spark.conf.set(_CLEAN, before)
+        spark._jvm.System.gc()
 
 
 class Staged:

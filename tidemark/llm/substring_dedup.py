@@ -354,17 +354,25 @@ def _with_places(row: DataFrame, asked: DataFrame, columns: list[str]) -> DataFr
     """(ra, rb, text, at) of the texts that ``asked`` has places of, one row each."""
     of_text = cut(asked.groupBy("ra", "rb").agg(F.collect_list(F.struct(*columns)).alias("at")))
     held = KeyFilter(of_text.select(F.xxhash64("ra", "rb").alias("h")), of_text.count())
-    return row.where(held.may_hold(F.xxhash64("ra", "rb"))).select("ra", "rb", "text").dropDuplicates(["ra", "rb"]).join(of_text, ["ra", "rb"])
+    return row.where(held.may_hold(F.xxhash64("ra", "rb"))).select("ra", "rb", "text").dropDuplicates(["ra", "rb"]).join(of_text, ["ra", "rb"]).select("ra", "rb", "text", "at")
+
+
+def _slices(batches, rows: int = 256):
+    """The columns of some rows at a time as lists: Python's objects take many times what Arrow's take."""
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            part = b.slice(s, rows)
+            yield [part.column(n).cast(pa.binary()).to_pylist() if n == "text" else part.column(n).to_pylist() for n in b.schema.names]
 
 
 def _mapped(of, fields):
-    """A mapInArrow function that yields ``of(ra, rb, text, places)`` of each row."""
+    """A mapInArrow function that yields ``of(ra, rb, text, places)`` of each row (ra, rb, text, at)."""
 
     def run(batches):
         out: list[tuple] = []
-        for b in batches:
-            for ra, rb, t, at in zip(b.column("ra").to_pylist(), b.column("rb").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), b.column("at").to_pylist()):
-                out.extend(of(ra, rb, t, at))
+        for columns in _slices(batches):
+            for row in zip(*columns):
+                out.extend(of(*row))
                 if len(out) > 20_000:
                     yield _batch(out, fields)
                     out = []
@@ -443,26 +451,32 @@ def kept_bytes(data: bytes, covered) -> tuple[bytes, int]:
 def _joined(docs: DataFrame) -> DataFrame:
     """The documents with ``covered``; only texts that may have covered bytes are shuffled to them."""
     row = _keyed(docs)
-    grouped = cut(spans(row).groupBy("ra", "rb").agg(F.collect_set(F.struct("start", "stop")).alias("covered")))
+    grouped = cut(spans(row).groupBy("ra", "rb").agg(F.flatten(F.collect_set(F.array("start", "stop"))).alias("covered")))
     held = KeyFilter(grouped.select(F.xxhash64("ra", "rb").alias("h")), grouped.count())
     hit = held.may_hold(F.xxhash64("ra", "rb"))
     return row.where(hit).join(grouped, ["ra", "rb"], "left").unionByName(row.where(~hit).withColumn("covered", F.lit(None).cast(grouped.schema["covered"].dataType)))
 
 
+def _pairs(covered) -> list[tuple[int, int]]:
+    """(start, stop) of the numbers in a row."""
+    flat = list(covered) if covered is not None else []
+    return list(zip(flat[::2], flat[1::2]))
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
 
+    kinds = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
+
     def run(batches):
-        for b in batches:
+        for columns in _slices(batches):
             out = []
-            for doc, t, c in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), b.column("covered").to_pylist()):
-                left, runs = kept_bytes(t, [(x["start"], x["stop"]) for x in c or []])
+            for doc, t, c in zip(*columns):
+                left, runs = kept_bytes(t, _pairs(c))
                 out.append((doc, len(t), len(t) - len(left), runs, hashlib.sha256(left).hexdigest()))
-            kinds = [pa.int64()] * 4 + [pa.string()]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield _batch(out, kinds)
 
-    return _joined(docs.select("doc_id", "text")).select("doc_id", "text", "covered").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "text", "covered").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove(docs: DataFrame) -> DataFrame:
@@ -472,7 +486,7 @@ def remove(docs: DataFrame) -> DataFrame:
     def left(text, covered):
         import pandas as pd
 
-        return pd.Series([kept_bytes(t.encode(), [(x["start"], x["stop"]) for x in c])[0].decode("utf-8", "ignore") if c is not None and len(c) else t for t, c in zip(text, covered)])
+        return pd.Series([kept_bytes(t.encode(), _pairs(c))[0].decode("utf-8", "ignore") if c is not None and len(c) else t for t, c in zip(text, covered)])
 
     out = _joined(set_aside(docs)).withColumn("text", left("text", "covered"))
     return put_back(out, docs, F.col("text"))

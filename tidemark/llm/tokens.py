@@ -14,8 +14,8 @@ from array import array
 
 import numpy as np
 
-#: Chunks a worker keeps before it starts anew; bounds its memory to some 250 MB.
-KEPT_CHUNKS = 1_200_000
+#: Chunks a worker keeps before it starts anew; those it kept before stay at hand for as many more. Some 250 MB.
+KEPT_CHUNKS = 600_000
 END_ID = 1
 _END_STOPS = re.compile(rb"(?<=[a-z0-9])[.,]+(?=\s|\Z)")
 
@@ -42,6 +42,7 @@ class ChunkTokenizer:
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("the vocabulary needs more than 16 bits an id")
         self.seen: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, text: str | bytes | None) -> np.ndarray:
         """Ids of the text (a string or its UTF-8 bytes), then the end id; a null text counts as empty."""
@@ -53,12 +54,17 @@ class ChunkTokenizer:
         try:
             packed = b"".join(map(seen.__getitem__, chunks))
         except KeyError:
-            new = list({c for c in chunks if c not in seen})
-            if len(seen) + len(new) > KEPT_CHUNKS:
-                seen.clear()
-                new = list(set(chunks))
+            if len(seen) > KEPT_CHUNKS:
+                self.older, self.seen = seen, {}
+                seen = self.seen
+            lacking = {c for c in chunks if c not in seen}
+            older = self.older
+            new = [c for c in lacking if c not in older]
             for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)):
                 seen[c] = array("H", e.ids).tobytes()
+            if len(new) < len(lacking):
+                for c in lacking.difference(new):
+                    seen[c] = older[c]
             packed = b"".join(map(seen.__getitem__, chunks))
         return np.frombuffer(packed + END_ID.to_bytes(2, "little"), "<u2")
 

@@ -17,7 +17,9 @@ texts are many sequences. An empty table gives no slots. Extra columns are ignor
 
 from __future__ import annotations
 
+import re
 import uuid
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -129,17 +131,30 @@ def write_shards(ordered: DataFrame, size: int, folder: str, capacity: int = CAP
     return each
 
 
-def read_slots(spark: SparkSession, folder: str, each: int, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """(slot, shard, byte_offset, n_ids, ids) of the records of all shards."""
+_NAME = re.compile(r"part-(\d+)-.*-c(\d+)")
+
+
+def read_slots(spark: SparkSession, folder: str, each: int, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS, with_ids: bool = True) -> DataFrame:
+    """(slot, shard, byte_offset, n_ids, ids_crc32, and ``with_ids`` ids) of the records of all shards."""
     wide = stride(capacity)
-    number = lambda pattern: F.regexp_extract("path", pattern, 1).cast("long")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    shard = number(r"part-(\d+)-[^/]*$") * each + number(r"-c(\d+)[^/]*$")
-    records = files.where("length > 0").select(shard.alias("shard"), F.posexplode(F.expr(f"transform(sequence(0, int(length div {wide}) - 1), i -> substring(content, i * {wide} + 1, {wide}))")).alias("i", "r"))
-    n = F.conv(F.hex(F.concat(*[F.expr(f"substring(r, {i}, 1)") for i in range(_HEAD, 0, -1)])), 16, 10).cast("long")
-    return records.withColumn("n_ids", n).select(
-        (F.col("shard") * shard_slots + F.col("i")).alias("slot"), "shard", (F.col("i") * wide).cast("long").alias("byte_offset"), "n_ids", F.expr(f"substring(r, {_HEAD + 1}, int(2 * n_ids))").alias("ids")
-    )
+    names = ["slot", "shard", "byte_offset", "n_ids", "ids_crc32", *(["ids"] if with_ids else [])]
+
+    def run(batches):
+        for b in batches:
+            for name, data in zip(b.column("path").to_pylist(), b.column("content")):
+                part, file = map(int, _NAME.search(name).groups())
+                shard, data = part * each + file, memoryview(data.as_buffer())
+                # a shard is cut in steps, so that a batch stays small
+                for at in range(0, len(data), 256 * wide):
+                    places = range(at, min(at + 256 * wide, len(data)), wide)
+                    ids = [data[i + _HEAD : i + _HEAD + 2 * int.from_bytes(data[i : i + _HEAD], "little")] for i in places]
+                    first = shard * shard_slots + at // wide
+                    cols = [range(first, first + len(ids)), [shard] * len(ids), places, [len(x) // 2 for x in ids], [zlib.crc32(x) for x in ids]]
+                    arrays = [pa.array(c, pa.int64()) for c in cols] + ([pa.array(map(bytes, ids), pa.binary())] if with_ids else [])
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    schema = ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in names)
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content").mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS, path: str | None = None, folder: str | None = None) -> DataFrame:
@@ -150,4 +165,4 @@ def digest(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY, sha
     folder = folder or f"{spark.sparkContext.getCheckpointDir()}/shards-{uuid.uuid4().hex}"
     ordered, size = materialise(docs, key, capacity, shard_slots, path)
     each = write_shards(ordered, size, folder, capacity, shard_slots)
-    return read_slots(spark, folder, each, capacity, shard_slots).withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+    return read_slots(spark, folder, each, capacity, shard_slots, with_ids=False)
