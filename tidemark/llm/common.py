@@ -61,6 +61,19 @@ def cut(df: DataFrame) -> DataFrame:
         spark._jvm.System.gc()
 
 
+def trim() -> None:
+    """Give a Python worker's free memory back: workers serve stage after stage, and what one needed once would stay."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class Staged:
     """Rows written as Parquet to the shared checkpoint folder, and removed by ``drop`` once they are of no more use."""
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import KeyFilter, components, cut, fingerprint, ship, skewed_lookup
+from tidemark.llm.common import KeyFilter, components, cut, fingerprint, ship, skewed_lookup, trim
 
 LEAST = 0.8
 SHINGLE = 5
@@ -128,6 +128,7 @@ def _bands(docs: DataFrame, width: int) -> DataFrame:
             flat = np.concatenate(keys).reshape(-1) if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("fa"), b.column("fb"), lists], names=["doc_id", "fa", "fb", "bands"])
+        trim()
 
     f = fingerprint("text")
     return docs.select("doc_id", f["a"].alias("fa"), f["b"].alias("fb"), "text").mapInArrow(run, "doc_id long, fa long, fb long, bands array<long>")
@@ -143,6 +144,7 @@ def _shingle_sets(texts: DataFrame, width: int) -> DataFrame:
                 sets = [np.unique(s).view(np.int64) for s in _shingle_hashes(texts, width)]
                 yield pa.RecordBatch.from_arrays([b.column("id").slice(at, len(texts)), b.column("fa").slice(at, len(texts)), pa.array(sets, pa.list_(pa.int64()))], names=["id", "fa", "held"])
                 at += len(texts)
+        trim()
 
     return texts.mapInArrow(run, "id long, fa long, held array<long>")
 

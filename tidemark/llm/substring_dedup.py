@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import rolling
-from tidemark.llm.common import KeyFilter, Staged, cut, put_back, set_aside, ship, shuffle_width, skewed_lookup
+from tidemark.llm.common import KeyFilter, Staged, cut, put_back, set_aside, ship, shuffle_width, skewed_lookup, trim
 
 LENGTH = 200
 GRAM = 32
@@ -289,6 +289,7 @@ def spans(row: DataFrame) -> DataFrame:
             texts = b.column("text").cast(pa.binary())
             for s in range(0, b.num_rows, 500):
                 yield _places(texts[s : s + 500], *(b.column(c).to_numpy()[s : s + 500] for c in ("fa", "ra", "rb")))
+        trim()
 
     found = Staged(long.select("ra", "rb", F.xxhash64("text").alias("fa"), "text").mapInArrow(emit, "gram long, context long, fa long, ra long, rb long, pos long"))
     # of copies' anchors, text and place are the same
@@ -378,6 +379,7 @@ def _mapped(of, fields):
                     out = []
         if out:
             yield _batch(out, fields)
+        trim()
 
     return run
 
@@ -416,6 +418,7 @@ def _solve_sorted(batches):
     close()
     if out:
         yield _batch(out, _SOLVED)
+    trim()
 
 
 def _split(row: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -486,6 +489,8 @@ def remove(docs: DataFrame) -> DataFrame:
     def left(text, covered):
         import pandas as pd
 
+        trim()
+
         return pd.Series([kept_bytes(t.encode(), _pairs(c))[0].decode("utf-8", "ignore") if c is not None and len(c) else t for t, c in zip(text, covered)])
 
     out = _joined(set_aside(docs)).withColumn("text", left("text", "covered"))
