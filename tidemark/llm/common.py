@@ -62,11 +62,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def trim() -> None:
-    """Give a Python worker's free memory back: workers serve stage after stage, and what one needed once would stay."""
+    """Give a Python worker's free memory back, token chunks too: workers serve stage after stage, and what one needed once would stay."""
     import ctypes
+    import sys
 
     import pyarrow
 
+    if tokens := sys.modules.get("tidemark.llm.tokens"):
+        tokens._LOADED.clear()
     pyarrow.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

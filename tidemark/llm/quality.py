@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import ship, trim
 
 #: Labelled rows to learn from, at most; those with the smallest hash.
 SAMPLE = 8000
@@ -156,6 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Factorisa
     )
 
     def run(batches):
+        trim()
         for b in batches:
             found = [features(t.as_py(), n.as_py()) for t, n in zip(b.column(0), b.column(1))]
             yield pa.RecordBatch.from_arrays([pa.array([f[0].astype(np.int32).tobytes() for f in found], pa.binary()), pa.array([f[1].astype(np.float32).tobytes() for f in found], pa.binary()), b.column(2)], names=["numbers", "vals", "label"])
@@ -200,6 +201,7 @@ def _apply(docs: DataFrame, machine: FactorisationMachine | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches):
+        trim()
         of = _scorer(shared.value)
         for b in batches:
             scores = [of(t.as_py(), n.as_py()) for t, n in zip(b.column(1), b.column(2))]
