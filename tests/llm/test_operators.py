@@ -62,7 +62,7 @@ def test_tokens():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.word_bpe_path())
-    for x in [*TEXTS, "a., b), c.' d's. 'S. x'., ΑΣ, Σ. é. İ.\x1cb 12. 3.4, ...", "Å. don't, <|endoftext|>", "a!! é!! ×!! ÷.. É?! x'' x'!? b$$$ c.### d*** e\u0301!! 5%% «f».. g—.. h_ i`", "<|startoftext|>a<|EndOfText|> b.<|endoftext|>"]:
+    for x in [*TEXTS, "a., b), c.' d's. 'S. x'., ΑΣ, Σ. é. İ.\x1cb 12. 3.4, ...", "Å. don't, <|endoftext|>", "a!! é!! ×!! ÷.. É?! x'' x'!? b$$$ c.### d*** e\u0301!! 5%% «f».. g—.. h_ i`", "<|startoftext|>a<|EndOfText|> b.<|endoftext|>", "<|ENDOFTEXT|> A", "fresh1 fresh2 \x01 fresh3\x01 x\x01y", "\x01", "fresh4 \u0301fresh5 \u0308 \u0327c"]:
         assert tokens.tokenizer().encode(x).tolist() == t.encode(x or "", add_special_tokens=False).ids + [1]
 
 

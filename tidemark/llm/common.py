@@ -77,18 +77,31 @@ def trim() -> None:
         pass
 
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 class Staged:
-    """Rows written as Parquet to the shared checkpoint folder, and removed by ``drop`` once they are of no more use."""
+    """Rows written as Parquet to the shared checkpoint folder, and removed by ``drop`` once they are of no more use.
+
+    ``apart`` names a boolean column whose two values go to folders of their own, so that one of them can be dropped;
+    a task writes both at once, without a sort.
+    """
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, apart: str | None = None, codec: str = "snappy"):
         spark = df.sparkSession
         checkpoint_folder(spark)
         self.spark, self.path = spark, f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        writer = df.write.option("compression", codec)
+        before = spark.conf.get(_WRITERS, "0")
+        spark.conf.set(_WRITERS, "2" if apart else before)
+        try:
+            (writer.partitionBy(apart) if apart else writer).parquet(self.path)
+        finally:
+            spark.conf.set(_WRITERS, before)
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
-    def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def drop(self, part: str | None = None) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}" if part else self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

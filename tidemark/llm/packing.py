@@ -101,8 +101,8 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool) -> tuple[DataFrame, DataFrame]:
-    """(full, open) windows of each task: (task, number, owners, starts, totals, lengths, crcs, ids).
+def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool) -> Staged:
+    """The windows of each task, full and open ones apart: (task, number, full, owners, starts, totals, lengths, crcs, ids).
 
     ``ids`` holds unsigned 16-bit ids, of full windows only ``with_ids``. Rows are staged, so numbers are fixed.
     """
@@ -137,8 +137,7 @@ def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool)
             yield out()
 
     names = {pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary", longs: "array<long>"}
-    found = Staged(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{n} {names[k]}" for n, k in kinds.items()))).df
-    return found.where("full").drop("full"), found.where("not full").drop("full", "crcs")
+    return Staged(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{n} {names[k]}" for n, k in kinds.items())), "full", "zstd")
 
 
 def placed_again(rows: pd.DataFrame, capacity: int) -> Iterator[list]:
@@ -158,10 +157,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) ->
 
     sequence_id carries the task's number above bit 40 (the group's, with bit 62 set, where windows were placed again).
     """
-    full, rest = windows_of(docs, capacity, path, False)
+    found = windows_of(docs, capacity, path, False).df
     zipped = F.expr("arrays_zip(owners, starts, lengths, crcs, totals, offsets)")
     offsets = F.expr("transform(sequence(0, size(lengths) - 1), i -> aggregate(slice(lengths, 1, i), 0L, (a, x) -> a + x))")
-    done = full.withColumn("offsets", offsets).select(F.expr("shiftleft(task, 40) + number").alias("id"), F.explode(zipped).alias("p"))
+    done = found.where("full").withColumn("offsets", offsets).select(F.expr("shiftleft(task, 40) + number").alias("id"), F.explode(zipped).alias("p"))
     done = done.select(*[F.col(f"p.{c}").alias(n) for c, n in zip(("owners", "starts", "lengths", "crcs", "totals"), _COLUMNS)], F.col("id").alias("sequence_id"), F.col("p.offsets").alias("offset"))
 
     def again(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -173,4 +172,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) ->
                 at += len(ids)
         return pd.DataFrame(out, columns=_COLUMNS).astype({c: "Int64" for c in _COLUMNS})
 
-    return done.unionByName(rest.groupBy(F.expr(f"task div {GROUP}").alias("g")).applyInPandas(again, SCHEMA))
+    return done.unionByName(found.where("not full").drop("crcs").groupBy(F.expr(f"task div {GROUP}").alias("g")).applyInPandas(again, SCHEMA))

@@ -3,8 +3,9 @@
 The vocabulary's rules drop white space and look at nothing beyond it, so the ids of a text are those of its
 chunks in a row. They also lower every letter, and part a run of stops and commas from a letter or digit before
 it, so ASCII capitals are lowered and such runs at a chunk's end cut off first, which leaves fewer chunks. A
-worker keeps the chunks it has seen (a bounded number) and hands only new ones to the tokenizer library. Added
-tokens are matched in the raw text, so a text that holds the string of one is given to the library whole.
+worker keeps the chunks it has seen (a bounded number) and hands only new ones to the tokenizer library, those of a
+text in one string with a separator between them whose id tells them apart again. Added tokens are matched in the
+raw text, so a text that holds the string of one, in any case, is given to the library whole.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import numpy as np
 #: Chunks a worker keeps before it starts anew; those it kept before stay at hand for as many more. Some 250 MB.
 KEPT_CHUNKS = 600_000
 END_ID = 1
+#: Stands between chunks; were it part of one, more of its ids would come back than were put in.
+_SEPARATOR = "\x01"
 _END_STOPS = re.compile(rb"(?<=[a-z0-9])[.,]+(?=\s|\Z)")
 
 _LOADED: dict[str, "ChunkTokenizer"] = {}
@@ -38,7 +41,8 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.separator = self.tokenizer.encode(_SEPARATOR, add_special_tokens=False).ids
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("the vocabulary needs more than 16 bits an id")
         self.seen: dict[bytes, bytes] = {}
@@ -47,9 +51,10 @@ class ChunkTokenizer:
     def encode(self, text: str | bytes | None) -> np.ndarray:
         """Ids of the text (a string or its UTF-8 bytes), then the end id; a null text counts as empty."""
         data = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
-        if any(a in data for a in self.added):
+        low = data.lower()
+        if any(a in low for a in self.added):
             return np.array([*self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, END_ID], "<u2")
-        chunks = _parted(data.lower()).split()
+        chunks = _parted(low).split()
         seen = self.seen
         try:
             packed = b"".join(map(seen.__getitem__, chunks))
@@ -60,14 +65,24 @@ class ChunkTokenizer:
             lacking = {c for c in chunks if c not in seen}
             older = self.older
             new = [c for c in lacking if c not in older]
-            for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)):
-                seen[c] = array("H", e.ids).tobytes()
+            seen.update(zip(new, self._ids_of(new)))
             if len(new) < len(lacking):
                 for c in lacking.difference(new):
                     seen[c] = older[c]
             packed = b"".join(map(seen.__getitem__, chunks))
         return np.frombuffer(packed + END_ID.to_bytes(2, "little"), "<u2")
 
+    def _ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of each chunk."""
+        words = [c.decode("utf-8", "replace") for c in chunks]
+        if words and len(self.separator) == 1:
+            ids = np.array(self.tokenizer.encode_batch_fast([f" {_SEPARATOR} ".join(words)], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.flatnonzero(ids == self.separator[0]) * 2
+            if len(ends) == len(words) - 1:
+                data, ends = ids.tobytes(), [*ends.tolist(), 2 * len(ids)]
+                return [data[a:b] for a, b in zip([0, *(e + 2 for e in ends)], ends)]
+        return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
 
 def _parted(data: bytes) -> bytes:
     """Lower-case text whose stops and commas stand apart from the words before them.

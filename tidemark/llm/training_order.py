@@ -76,14 +76,15 @@ _PACKED = "task long, number long, owners array<long>, starts array<long>, lengt
 
 def sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """Packed sequences (task, number, owners, starts, lengths, ids as unsigned 16-bit bytes), numbered densely within a task; groups of open windows count as tasks of their own."""
-    full, rest = windows_of(docs, capacity, path, True)
+    found = windows_of(docs, capacity, path, True)
 
     def again(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = [((1 << 40) + int(key[0]), i, [p[0] for p in w], [p[1] for p in w], [len(p[2]) for p in w], b"".join(p[2].tobytes() for p in w)) for i, w in enumerate(placed_again(rows, capacity))]
         return pd.DataFrame(out, columns=[c.split()[0] for c in _PACKED.split(", ")])
 
-    placed = Staged(rest.groupBy(F.expr(f"task div {GROUP}").alias("g")).applyInPandas(again, _PACKED)).df
-    return full.select("task", "number", "owners", "starts", "lengths", "ids").unionByName(placed)
+    placed = Staged(found.df.where("not full").groupBy(F.expr(f"task div {GROUP}").alias("g")).applyInPandas(again, _PACKED), codec="zstd").df
+    found.drop("full=false")
+    return found.df.where("full").select(*placed.columns).unionByName(placed)
 
 
 def materialise(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY, shard_slots: int = SHARD_SLOTS, path: str | None = None) -> tuple[DataFrame, int]:
