@@ -4,8 +4,10 @@ The vocabulary's rules drop white space and look at nothing beyond it, so the id
 chunks in a row. They also lower every letter, and part a run of stops and commas from a letter or digit before
 it, so ASCII capitals are lowered and such runs at a chunk's end cut off first, which leaves fewer chunks. A
 worker keeps the chunks it has seen (a bounded number) and hands only new ones to the tokenizer library, those of a
-text in one string with a separator between them whose id tells them apart again. Added tokens are matched in the
-raw text, so a text that holds the string of one, in any case, is given to the library whole.
+text in one string. Chunks of ASCII letters alone are one word each, which no rule before the model changes: they are
+parted by white space, and the model's end-of-word ids tell them apart again; the others have a separator between
+them. Added tokens are matched in the raw text, so a text that holds the string of one, in any case, is given to the
+library whole.
 """
 
 from __future__ import annotations
@@ -38,9 +40,17 @@ class ChunkTokenizer:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer, self.words.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        # the split drops all white space, so the chunks' spaces need not be made alike before it
+        self.chunks = Tokenizer.from_file(path)
+        self.chunks.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.ends = np.zeros(1 << 16, bool)
+        if suffix := self.tokenizer.model.end_of_word_suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.separator = self.tokenizer.encode(_SEPARATOR, add_special_tokens=False).ids
         if self.tokenizer.get_vocab_size() > 65_536:
@@ -55,28 +65,36 @@ class ChunkTokenizer:
         if any(a in low for a in self.added):
             return np.array([*self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, END_ID], "<u2")
         chunks = _parted(low).split()
-        seen = self.seen
-        try:
-            packed = b"".join(map(seen.__getitem__, chunks))
-        except KeyError:
-            if len(seen) > KEPT_CHUNKS:
-                self.older, self.seen = seen, {}
-                seen = self.seen
-            lacking = {c for c in chunks if c not in seen}
-            older = self.older
+        found = list(map(self.seen.get, chunks))
+        if None in found:
+            if len(self.seen) > KEPT_CHUNKS:
+                self.older, self.seen = self.seen, {}
+                found = [None] * len(chunks)
+            seen, older = self.seen, self.older
+            at = [i for i, f in enumerate(found) if f is None]
+            lacking = {chunks[i] for i in at}
             new = [c for c in lacking if c not in older]
-            seen.update(zip(new, self._ids_of(new)))
+            for words in ([c for c in new if c.isalpha()], [c for c in new if not c.isalpha()]):
+                seen.update(zip(words, self._ids_of(words)))
             if len(new) < len(lacking):
                 for c in lacking.difference(new):
                     seen[c] = older[c]
-            packed = b"".join(map(seen.__getitem__, chunks))
+            for i in at:
+                found[i] = seen[chunks[i]]
+        packed = b"".join(found)
         return np.frombuffer(packed + END_ID.to_bytes(2, "little"), "<u2")
 
     def _ids_of(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of each chunk."""
+        """The ids of each chunk; all or none of them are of ASCII letters alone."""
         words = [c.decode("utf-8", "replace") for c in chunks]
-        if words and len(self.separator) == 1:
-            ids = np.array(self.tokenizer.encode_batch_fast([f" {_SEPARATOR} ".join(words)], add_special_tokens=False)[0].ids, "<u2")
+        if words and chunks[0].isalpha():
+            ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * 2).tolist()
+            if len(ends) == len(words):
+                data = ids.tobytes()
+                return [data[a:b] for a, b in zip([0, *ends], ends)]
+        elif words and len(self.separator) == 1:
+            ids = np.array(self.chunks.encode_batch_fast([f" {_SEPARATOR} ".join(words)], add_special_tokens=False)[0].ids, "<u2")
             ends = np.flatnonzero(ids == self.separator[0]) * 2
             if len(ends) == len(words) - 1:
                 data, ends = ids.tobytes(), [*ends.tolist(), 2 * len(ids)]
