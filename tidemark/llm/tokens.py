@@ -2,7 +2,7 @@
 
 The vocabulary's rules drop white space and look at nothing beyond it, so the ids of a text are those of its
 chunks in a row. They also lower every letter, and part a run of stops and commas from a letter or digit before
-it, so ASCII capitals are lowered and such runs at a chunk's end cut off first, which leaves fewer chunks. A
+it, so ASCII capitals are lowered first, and a new chunk with such a run at its end has the ids of its two parts. A
 worker keeps the chunks it has seen (a bounded number) and hands only new ones to the tokenizer library, those of a
 text in one string. Chunks of ASCII letters alone are one word each, which no rule before the model changes: they are
 parted by white space, and the model's end-of-word ids tell them apart again; the others have a separator between
@@ -12,7 +12,6 @@ library whole.
 
 from __future__ import annotations
 
-import re
 from array import array
 
 import numpy as np
@@ -22,7 +21,6 @@ KEPT_CHUNKS = 600_000
 END_ID = 1
 #: Stands between chunks; were it part of one, more of its ids would come back than were put in.
 _SEPARATOR = "\x01"
-_END_STOPS = re.compile(rb"(?<=[a-z0-9])[.,]+(?=\s|\Z)")
 
 _LOADED: dict[str, "ChunkTokenizer"] = {}
 
@@ -64,7 +62,7 @@ class ChunkTokenizer:
         low = data.lower()
         if any(a in low for a in self.added):
             return np.array([*self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, END_ID], "<u2")
-        chunks = _parted(low).split()
+        chunks = low.split()
         found = list(map(self.seen.get, chunks))
         if None in found:
             if len(self.seen) > KEPT_CHUNKS:
@@ -73,12 +71,17 @@ class ChunkTokenizer:
             seen, older = self.seen, self.older
             at = [i for i, f in enumerate(found) if f is None]
             lacking = {chunks[i] for i in at}
-            new = [c for c in lacking if c not in older]
+            fresh = {c for c in lacking if c not in older}
+            parts = {c: two for c in fresh if c.endswith((b".", b",")) and (two := _parted(c))}
+            new = fresh.difference(parts)
+            new.update(x for two in parts.values() for x in two if x not in seen and x not in older)
+            got = {}
             for words in ([c for c in new if c.isalpha()], [c for c in new if not c.isalpha()]):
-                seen.update(zip(words, self._ids_of(words)))
-            if len(new) < len(lacking):
-                for c in lacking.difference(new):
-                    seen[c] = older[c]
+                got.update(zip(words, self._ids_of(words)))
+            for c in lacking:
+                if (ids := got.get(c)) is None:
+                    ids = older.get(c) or b"".join([got.get(x) or seen.get(x) or older.get(x, b"") for x in parts.get(c, ())])
+                seen[c] = ids
             for i in at:
                 found[i] = seen[chunks[i]]
         packed = b"".join(found)
@@ -102,21 +105,10 @@ class ChunkTokenizer:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
-def _parted(data: bytes) -> bytes:
-    """Lower-case text whose stops and commas stand apart from the words before them.
-
-    Plain replacements do that, unless some stop follows a sign or a letter beyond ASCII, where it must stay.
-    """
-    kinds = data.translate(_KINDS)
-    if b"#." in kinds or b".." in kinds:
-        return _END_STOPS.sub(rb" \g<0>", data)
-    for old, new in ((b". ", b" . "), (b", ", b" , "), (b".\n", b" .\n"), (b",\n", b" ,\n")):
-        data = data.replace(old, new)
-    return data
-
-
-#: A byte's kind: letter or digit, stop or comma, white space, or another.
-_KINDS = bytes(ord("a") if c in b"abcdefghijklmnopqrstuvwxyz0123456789" else ord(".") if c in b".," else ord(" ") if c in b" \t\n\r\v\f" else ord("#") for c in range(256))
+def _parted(chunk: bytes) -> tuple[bytes, bytes] | None:
+    """What stands before the stops and commas at the chunk's end, and these; None unless that ends in an ASCII letter or digit."""
+    base = chunk.rstrip(b".,")
+    return (base, chunk[len(base) :]) if base[-1:].isalnum() else None
 
 
 def tokenizer(path: str | None = None) -> ChunkTokenizer:
