@@ -41,10 +41,12 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer, self.words.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        # one model for all three; chunks hold no added tokens
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         # the split drops all white space, so the chunks' spaces need not be made alike before it
-        self.chunks = Tokenizer.from_file(path)
+        self.chunks = Tokenizer(self.tokenizer.model)
+        self.chunks.pre_tokenizer = self.tokenizer.pre_tokenizer
         self.chunks.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         self.ends = np.zeros(1 << 16, bool)
         if suffix := self.tokenizer.model.end_of_word_suffix:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Staged, checkpoint_folder, ship, shuffle_width
+from tidemark.llm.common import Staged, checkpoint_folder, ship, shuffle_width, trim
 from tidemark.llm.packing import CAPACITY, GROUP, placed_again, windows_of
 
 ROUNDS = 4
@@ -79,6 +79,7 @@ def sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
     found = windows_of(docs, capacity, path, True)
 
     def again(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        trim()
         out = [((1 << 40) + int(key[0]), i, [p[0] for p in w], [p[1] for p in w], [len(p[2]) for p in w], b"".join(p[2].tobytes() for p in w)) for i, w in enumerate(placed_again(rows, capacity))]
         return pd.DataFrame(out, columns=[c.split()[0] for c in _PACKED.split(", ")])
 
@@ -101,6 +102,7 @@ def materialise(docs: DataFrame, key: int = 20_240_601, capacity: int = CAPACITY
 
     @F.pandas_udf("long")
     def slot(task, number):
+        trim()
         return pd.Series(feistel(before[np.searchsorted(tasks, task.to_numpy())] + number.to_numpy(), size, key))
 
     ordered = packed.withColumn("slot", slot("task", "number")).select(
@@ -141,6 +143,7 @@ def read_slots(spark: SparkSession, folder: str, each: int, capacity: int = CAPA
     names = ["slot", "shard", "byte_offset", "n_ids", "ids_crc32", *(["ids"] if with_ids else [])]
 
     def run(batches):
+        trim()
         for b in batches:
             for name, data in zip(b.column("path").to_pylist(), b.column("content")):
                 part, file = map(int, _NAME.search(name).groups())
