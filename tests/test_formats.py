@@ -100,6 +100,16 @@ def test_frames_to_changes(spark, monkeypatch):
     assert frames.committed_rows(frames.until(log, 85)).agg({"commit_lsn": "max"}).first()[0] == 80
 
 
+def test_frames_stand_once_in_the_plan(spark):
+    log = _log(spark, _relation(5, b"lots", b"id"), _begin(50, 1), _row(b"I", 5, (b"1",)), _commit(60), _begin(70, 2), _row(b"I", 5, (b"2",)), _commit(80))
+    leaves = lambda df: df._jdf.queryExecution().analyzed().collectLeaves().size()
+    marked = frames.carried(frames.carried(log, frames.F.lit(1), "a"), frames.F.lit(2), "b")
+    assert leaves(frames.until(log, 60)) == 1 and leaves(marked) == 3
+    rows = frames.committed_rows(frames.until(log, 60))
+    assert leaves(rows) < 20 and [r.commit_lsn for r in rows.collect()] == [60]
+    assert frames.until(log, 1).count() == 0
+
+
 def test_schema_events(spark):
     log = _log(spark, _relation(6, b"audit", b"txn", b"tag", b"name", b"namespace", b"statement"), _begin(10, 1), _row(b"I", 6, (b"77", b"ALTER TABLE", b"lots", None, b"ALTER TABLE lots ADD a int")), _row(b"I", 6, (b"77", b"", b"", None, b"")), _commit(20))
     assert [tuple(r) for r in frames.schema_events(frames.committed_rows(log), "land.audit").collect()] == [("ALTER TABLE", "public", "lots", "ALTER TABLE lots ADD a int", 20, 77)]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import ddl, lsn, types
 from tidemark.operators import changelog, merge, resync
 from tidemark.plans import control
+from tidemark.plans.staged import Staged
 from tidemark.plans.table import Catalog
 from tidemark.sources import frames, scan
 
@@ -545,8 +546,8 @@ def _frames(spark, d):
 
 
 def _replayed(spark, log):
-    """Frames to typed changes, ranked in commit order, merged into a table, and read."""
-    typed = frames.changes(frames.committed_rows(log), "public.users", _USERS)
+    """Frames to typed changes, ranked in commit order, merged into a table, and read. Ranking and merging read the changes more than once, so they are staged."""
+    typed = Staged(frames.changes(frames.committed_rows(log), "public.users", _USERS), codec="zstd").df
     ranked = changelog.assign_sequence(typed.withColumn("bucket", F.expr("commit_lsn div 65536")), 0, ["commit_lsn", "frame_idx", "part"], "bucket")
     t = _warehouse(spark).create("public", "users", typed.select(*[c for c, _ in _USERS]).schema, ["user_id"])
     t.merge(ranked.drop("xid", "commit_lsn", "frame_idx", "part", "bucket"))

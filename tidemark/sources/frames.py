@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.types import decode_text
 from tidemark.operators.merge import SAME
+from tidemark.plans.staged import Staged, cut
 
 #: Frames in a range; microseconds from 1970 to the log's epoch (a fixed value).
 RANGE = 1 << 16
@@ -124,13 +125,16 @@ def status(lsn: int, micros: int, reply: bool = False) -> bytes:
     return b"r" + struct.pack(">QQQqB", lsn, lsn, lsn, micros, reply)
 
 
-def carried(rows: DataFrame, value: Column, name: str, by: list[str] = (), order: str = "frame_idx", size: int = RANGE) -> DataFrame:
-    """``name``: the last non-null ``value`` at or before each row, for each ``by``, in the order of a number."""
-    rows = rows.withColumn("_value", value).withColumn("_range", F.expr(f"`{order}` div {size}"))
-    last = rows.where("_value is not null").groupBy(*by, "_range").agg(F.max_by("_value", order).alias("_last"))
-    # one row a range and key: where the next range that has rows begins
-    every = rows.select(*by, "_range").distinct().join(last, [*by, "_range"], "left")
-    before = every.withColumn("_before", F.last("_last", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))).drop("_last")
+def carried(rows: DataFrame, value: Column, name: str, by: list[str] = (), order: str = "frame_idx", size: int | None = None) -> DataFrame:
+    """``name``: the last non-null ``value`` at or before each row, for each ``by``, in the order of a number.
+
+    What comes into each range (one row a range and key) is computed at once and its lineage cut, so that ``rows`` stand
+    once in the plan; a chain of these would else grow by powers of their uses.
+    """
+    rows = rows.withColumn("_value", value).withColumn("_range", F.expr(f"`{order}` div {size or RANGE}"))
+    last = rows.groupBy(*by, "_range").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_last"))
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = cut(last.withColumn("_before", F.last("_last", ignorenulls=True).over(earlier)).drop("_last"))
     inside = F.last("_value", ignorenulls=True).over(Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     return rows.join(before, [*by, "_range"]).withColumn(name, F.coalesce(inside, "_before")).drop("_value", "_range", "_before")
 
@@ -139,8 +143,8 @@ def until(frames: DataFrame, lsn: int) -> DataFrame:
     """The frames of a bounded replay: up to the last commit that ends at or before the position."""
     tag, at = F.hex(F.substring("data", 1, 1)), lambda start: F.conv(F.hex(F.substring("data", start, 8)), 16, 10).cast("long")
     end = F.when(tag == "43", at(11)).when(tag == "63", at(15))
-    last = frames.where(end <= lsn).agg(F.max("frame_idx").alias("_end"))
-    return frames.join(F.broadcast(last), F.col("frame_idx") <= F.col("_end")).drop("_end")
+    last = frames.where(end <= lsn).agg(F.max("frame_idx")).first()[0]
+    return frames.where(F.col("frame_idx") <= F.lit(last).cast("long"))
 
 
 def read(frames: DataFrame) -> DataFrame:
@@ -182,13 +186,16 @@ def unknown_relations(rows: DataFrame, relations: DataFrame) -> DataFrame:
 
 
 def committed_rows(frames: DataFrame) -> DataFrame:
-    """Row messages of committed transactions with relation, commit_lsn, commit_ts; aborted (sub)transactions and unfinished ones are left out."""
-    messages = transactions(read(frames))
-    ends = messages.where(F.col("kind").isin("C", "c")).select("xid", F.col("end_lsn").alias("commit_lsn"), F.col("ts").alias("commit_ts"))
-    aborts = messages.where("kind = 'A'").select(F.col("xid").alias("top"), F.col("subxid").alias("gone")).distinct()
-    data = messages.where(F.col("kind").isin("I", "U", "D"))
+    """Row messages of committed transactions with relation, commit_lsn, commit_ts; aborted (sub)transactions and unfinished ones are left out.
+
+    Frames are decoded once, into files of the shared checkpoint folder that the rows are read from.
+    """
+    messages = Staged(read(frames), codec="zstd").df
+    of = lambda *kinds: transactions(messages.where(F.col("kind").isin("B", *kinds))).where(F.col("kind").isin(*kinds))
+    ends = of("C", "c").select("xid", F.col("end_lsn").alias("commit_lsn"), F.col("ts").alias("commit_ts"))
+    gone = messages.where("kind = 'A'").select(F.col("subxid").alias("xid")).distinct()
     # rows of a streamed subtransaction carry its number; its abort names both, and the top one where all is gone
-    data = data.join(aborts.select(F.col("gone").alias("xid")).distinct(), "xid", "left_anti")
+    data = of("I", "U", "D").join(gone, "xid", "left_anti")
     return with_relations(data, messages.where("kind = 'R'")).drop("lsn", "end_lsn", "ts").join(ends, "xid")
 
 
