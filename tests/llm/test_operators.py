@@ -221,6 +221,24 @@ def test_substring_dedup(spark, monkeypatch, block):
     assert substring_dedup.remove(docs(spark)).columns == docs(spark).columns
 
 
+def test_substring_dedup_of_frequent_passages(spark, monkeypatch):
+    """Members of frequent grams make a few rows each, not one a window, and what they cover is exact."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", 8)
+    rng = np.random.default_rng(11)
+    word = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    shared = [word(n) for n in (199, 200, 206, 231, 260)]
+    near = [word(12) for _ in range(3)]
+    texts = [word(int(rng.integers(0, 40))) + near[i % 3][i % 5 :] + shared[i % 5] + near[i % 2][: i % 7] + word(int(rng.integers(0, 40))) for i in range(150)]
+    texts += [shared[4], shared[3] * 2, shared[2] + "x", "q" + shared[1], *[shared[4] + word(300) for _ in range(20)]]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in substring_dedup.digest(df).collect()}
+    assert [got[i] for i in range(len(texts))] == _covered(texts)
+    every = substring_dedup.spans(substring_dedup._keyed(df))
+    anchored = sum(len(substring_dedup.anchors(np.frombuffer(t.encode(), np.uint8))[0]) for t in texts)
+    assert every.count() <= 5 * anchored
+
+
 def test_deep_shallow():
     rng = np.random.default_rng(3)
     strings = [bytes(rng.integers(97, 99, rng.integers(0, 90)).tolist()) for _ in range(200)] + [b"a" * n for n in range(150)]

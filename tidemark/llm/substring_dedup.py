@@ -12,9 +12,10 @@ from l before to r after the anchor are covered.
 
 A gram of very many contexts is split by what stands around it: the 169 offsets that a window may have around it
 are four ranges, and all windows of a range share a core of some 158 bytes. Members meet by the core's hash, one
-row a range, and cores that occur once go. A core that is still frequent is dealt to blocks of bounded size. A block solves its members among
-themselves; the range's windows are compared between blocks by 128-bit hashes, matched ones once
-a block, so this is exact too and no group is gathered in one task. Texts leave the scan, to be joined with their
+row a range, and cores that occur once go. Members of a core that is still frequent, and that are equal as far as
+its range's windows reach, cover each other (by 128-bit hashes, counted), and one of them goes on; if too many do, the
+range is split again, so that cores grow until, at one offset, a core is the window itself. Each member has a few rows
+a split, not one a window; this is exact too, and no group is gathered in one task. Texts leave the scan, to be joined with their
 contexts or with what is covered, only if a bounded filter lets them through. Equal texts are one text for the search; with
 two or more copies all windows of a text repeat, so it goes whole.
 
@@ -25,6 +26,7 @@ are taken whole. An empty table gives no rows; ``remove`` carries extra columns.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,9 @@ SPAN = LENGTH - GRAM + 1
 #: Depth to which strings are ordered by multikey quicksort, and members of a gram or core that meet in one task (under 1 MB).
 SHALLOW = 64
 BLOCK = 2048
-#: (first, last) window offset of each range that a frequent gram's windows are split into.
-RANGES = [(SPAN * i // 4, SPAN * (i + 1) // 4 - 1) for i in range(4)]
+#: Parts that a frequent gram's window offsets are split into, then each part in turn; (first, last) offset of the first ones.
+PARTS = 4
+RANGES = [(SPAN * i // PARTS, SPAN * (i + 1) // PARTS - 1) for i in range(PARTS)]
 _WHOLE = 1 << 40
 
 
@@ -218,20 +221,14 @@ def reach(lefts: list[bytes], rights: list[bytes], known: int, length: int = LEN
     return out
 
 
-def _solve(rows: list[tuple], offsets: tuple[int, int] | None):
-    """Covered intervals (ra, rb, start, end), and of a block the windows (digest, ra, rb, start) at its range of offsets.
+def _solve(rows: list[tuple]) -> list[tuple]:
+    """Covered intervals (ra, rb, start, end) of members (ra, rb, pos, left side reversed, right side).
 
-    Members whose contexts are equal all through match each other as far as these reach; one stands for them.
-    Windows not covered are given for each member. Of covered ones each text is given once a block, so that a lone
-    copy in another block meets it.
+    Members whose sides are equal all through match each other as far as these reach; one stands for them.
     """
-    covered, windows = [], []
     if len(grams := {r[4][:GRAM] for r in rows}) > 1:  # two grams of one hash
-        for g in grams:
-            c, w = _solve([r for r in rows if r[4][:GRAM] == g], offsets)
-            covered, windows = covered + c, windows + w
-        return covered, windows
-    shown: set[bytes] = set()
+        return [c for g in grams for c in _solve([r for r in rows if r[4][:GRAM] == g])]
+    covered = []
     alike: dict[tuple, list] = {}
     for ra, rb, pos, left, right in rows:
         alike.setdefault((left, right), []).append((ra, rb, pos))
@@ -241,20 +238,9 @@ def _solve(rows: list[tuple], offsets: tuple[int, int] | None):
         members = alike[left, right]
         if len(members) > 1 and len(left) + len(right) >= LENGTH:
             le, r = len(left), len(right)
-        for ra, rb, pos in members:
-            if r:
-                covered.append((ra, rb, pos - le, pos + r))
-        if offsets:
-            text = left[::-1] + right
-            at = len(left)
-            for o in range(max(offsets[0], LENGTH - len(right)), min(len(left), offsets[1]) + 1):
-                digest = hashlib.blake2b(text[at - o : at - o + LENGTH], digest_size=16).digest()
-                if not (r and LENGTH - r <= o <= le):
-                    windows.extend((digest, ra, rb, pos - o) for ra, rb, pos in members)
-                elif digest not in shown:
-                    windows.append((digest, members[0][0], members[0][1], members[0][2] - o))
-                shown.add(digest)
-    return covered, windows
+        if r:
+            covered.extend((ra, rb, pos - le, pos + r) for ra, rb, pos in members)
+    return covered
 
 
 def _places(texts, fa: np.ndarray, ra: np.ndarray, rb: np.ndarray):
@@ -308,29 +294,22 @@ def spans(row: DataFrame) -> DataFrame:
     contexts.drop()
     size = F.col("size")
     frequent = met.df.where(size > BLOCK).drop("size")
-    split = not frequent.isEmpty()
-    asked = met.df.where(size <= BLOCK).withColumn("blocks", F.lit(1)).select(*_ASKED)
+    covered, asked = whole.unionByName(equal), met.df.where(size <= BLOCK).select(*_ASKED)
+    if split := not frequent.isEmpty():
+        cores = Staged(_split(row, frequent))
+        asked = asked.unionByName(cores.df.where(size <= BLOCK).select(*_ASKED))
+    sides = _sides(row, asked)
     if split:
-        asked = asked.unionByName(_split(row, frequent).withColumn("blocks", F.ceil(size / F.lit(BLOCK)).cast("int")).select(*_ASKED))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("ra", "pos"), F.col("blocks")).cast("int"))
-    solved = cut(
-        _sides(row, asked)
-        .repartition(width, "gram", "core", "first", "block")
-        .sortWithinPartitions("gram", "core", "first", "block")
-        .mapInArrow(_solve_sorted, _ddl(_SOLVED))
-    )
+        found, few, kept = _narrow(_sides(row, cores.df.where(size > BLOCK).select(*_ASKED)))
+        covered, sides = covered.unionByName(found), sides.unionByName(few)
+    solved = cut(sides.repartition(width, "gram", "core", "first").sortWithinPartitions("gram", "core", "first").mapInArrow(_solve_sorted, _ddl(_SOLVED)))
     met.drop()
-    covered = whole.unionByName(equal).unionByName(solved.where("digest is null").select("ra", "rb", "start", "stop"))
-    if split:
-        # windows of one hash at two places, of which a window that holds a gram twice is one
-        windows = solved.where("digest is not null")
-        place = F.struct("ra", "rb", "start")
-        met = windows.groupBy("gram", "digest").agg(F.count("*").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("gram", "digest", "n")
-        covered = covered.unionByName(skewed_lookup(windows, met, ["gram", "digest"], F.xxhash64("ra", "start")).select("ra", "rb", "start", "stop"))
-    return covered
+    for staged in [cores, *kept] if split else []:
+        staged.drop()
+    return covered.unionByName(solved)
 
 
-_ASKED = ["gram", "core", "first", "last", "ra", "rb", "pos", "blocks"]
+_ASKED = ["gram", "core", "first", "last", "ra", "rb", "pos"]
 
 
 def _spread(*cols: str):
@@ -338,13 +317,13 @@ def _spread(*cols: str):
     return F.xxhash64(*cols, F.spark_partition_id())
 
 
-_SIDES = [("gram", pa.int64()), ("core", pa.int64()), ("block", pa.int32()), ("ra", pa.int64()), ("rb", pa.int64()), ("pos", pa.int64()), ("prior", pa.binary()), ("after", pa.binary()), ("first", pa.int32()), ("last", pa.int32()), ("apart", pa.bool_())]
-_SOLVED = [("digest", pa.binary()), ("ra", pa.int64()), ("rb", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("gram", pa.int64())]
+_SIDES = [("gram", pa.int64()), ("core", pa.int64()), ("ra", pa.int64()), ("rb", pa.int64()), ("pos", pa.int64()), ("prior", pa.binary()), ("after", pa.binary()), ("first", pa.int32()), ("last", pa.int32())]
+_SOLVED = [("ra", pa.int64()), ("rb", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())]
 _CORES = [("gram", pa.int64()), ("core", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("ra", pa.int64()), ("rb", pa.int64()), ("pos", pa.int64())]
 
 
 def _ddl(fields) -> str:
-    return ", ".join(f"{n} { {pa.int64(): 'long', pa.int32(): 'int', pa.binary(): 'binary', pa.bool_(): 'boolean'}[k]}" for n, k in fields)
+    return ", ".join(f"{n} { {pa.int64(): 'long', pa.int32(): 'int', pa.binary(): 'binary'}[k]}" for n, k in fields)
 
 
 def _batch(rows: list[tuple], fields) -> pa.RecordBatch:
@@ -385,33 +364,31 @@ def _mapped(of, fields):
 
 
 def _sides(row: DataFrame, asked: DataFrame) -> DataFrame:
-    """Each asked place with its sides, as far as its range of offsets needs them; ``apart`` where windows are compared between blocks."""
+    """Each asked place with its sides, as far as its range of offsets needs them."""
 
     def sides(ra, rb, t, at):
         for x in at:
             p, first, last = x["pos"], x["first"], x["last"]
-            yield x["gram"], x["core"], x["block"], ra, rb, p, t[max(0, p - last) : p][::-1], t[p : p + LENGTH - first], first, last, x["blocks"] > 1
+            yield x["gram"], x["core"], ra, rb, p, t[max(0, p - last) : p][::-1], t[p : p + LENGTH - first], first, last
 
-    return _with_places(row, asked, ["gram", "pos", "core", "first", "last", "block", "blocks"]).mapInArrow(_mapped(sides, _SIDES), _ddl(_SIDES))
+    return _with_places(row, asked, ["gram", "pos", "core", "first", "last"]).mapInArrow(_mapped(sides, _SIDES), _ddl(_SIDES))
 
 
 def _solve_sorted(batches):
-    key, group, offsets, out = None, [], None, []
+    key, group, out = None, [], []
 
     def close():
-        if len(group) > 1 or offsets:
-            covered, windows = _solve(group, offsets)
-            out.extend((None, *c, None) for c in covered)
-            out.extend((d, ra, rb, s, s + LENGTH, key[0]) for d, ra, rb, s in windows)
+        if len(group) > 1:
+            out.extend(_solve(group))
 
     for b in batches:
-        cols = [b.column(n).to_pylist() for n in ("gram", "core", "block", "ra", "rb", "pos", "prior", "after", "first", "last", "apart")]
-        for gram, core, block, *rest, first, last, apart in zip(*cols):
-            if (gram, core, first, block) == key:
+        cols = [b.column(n).to_pylist() for n in ("gram", "core", "first", "ra", "rb", "pos", "prior", "after")]
+        for gram, core, first, *rest in zip(*cols):
+            if (gram, core, first) == key:
                 group.append(tuple(rest))
             else:
                 close()
-                key, group, offsets = (gram, core, first, block), [tuple(rest)], (first, last) if apart else None
+                key, group = (gram, core, first), [tuple(rest)]
             if len(out) > 20_000:
                 yield _batch(out, _SOLVED)
                 out.clear()
@@ -421,6 +398,50 @@ def _solve_sorted(batches):
     trim()
 
 
+def _narrow(sides: DataFrame) -> tuple[DataFrame, DataFrame, list[Staged]]:
+    """Of members of frequent cores: what is covered (ra, rb, start, stop), and the members, with longer cores, that are few enough to meet; files to drop then."""
+    names = [n for n, _ in _SIDES]
+    core, reached = ["gram", "core", "first"], (F.octet_length("prior"), F.octet_length("after"))
+    kept = [Staged(sides)]
+    here, covered, few = kept[0].df, [], []
+    while True:
+        extent = F.unhex(F.md5(F.concat(reached[0].cast("string").cast("binary"), F.lit(b":"), "prior", "after")))
+        here = here.withColumn("extent", extent)
+        one = F.min(F.struct("ra", "rb", "pos")).alias("one")
+        extents = Staged(here.groupBy(*core, "last", "extent").agg(F.count("*").alias("n"), one, F.first("prior").alias("prior"), F.first("after").alias("after")))
+        equal = here.select(*core, "extent", "ra", "rb", "pos", (F.col("pos") - reached[0]).alias("start"), (F.col("pos") + reached[1]).alias("stop"))
+        equal = skewed_lookup(equal.where(F.col("stop") - F.col("start") >= LENGTH), extents.df.where("n > 1").select(*core, "extent", "n"), [*core, "extent"], F.xxhash64("ra", "pos"))
+        covered.append(cut(equal.select("ra", "rb", "start", "stop")))
+        # at one offset the core is the window: what is equal is covered, and nothing else meets
+        groups = extents.df.where("first < last").groupBy(*core).agg(F.count("*").alias("n")).where("n > 1").withColumn("size", F.col("n"))
+        met = Staged(skewed_lookup(extents.df.select(*core, "last", "one.*", "prior", "after"), groups, core, F.xxhash64("ra", "pos")))
+        extents.drop()
+        kept.append(met)
+        few.append(met.df.where(F.col("size") <= BLOCK).select(*names))
+        many = met.df.where(F.col("size") > BLOCK)
+        if many.isEmpty():
+            break
+        here = _parted(many)
+    return reduce(DataFrame.unionByName, covered), reduce(DataFrame.unionByName, few), kept
+
+
+def _parted(members: DataFrame) -> DataFrame:
+    """Members once for each part of their range of offsets that has a core in their text, with that core and sides as far as the part needs them."""
+    edge = lambda i: F.expr(f"first + (last - first + 1) * {i} div {PARTS}").cast("int")
+    parts = F.array(*[F.struct(edge(i).alias("first"), (edge(i + 1) - 1).alias("last")) for i in range(PARTS)])
+    there = lambda x: (x["first"] <= x["last"]) & (x["first"] <= F.octet_length("prior")) & (LENGTH - x["last"] <= F.octet_length("after"))
+    each = members.withColumn("part", F.explode(F.filter(parts, there))).drop("first", "last", "core").select("*", "part.*").drop("part")
+    start = lambda c, n: F.substring(c, F.lit(1), n)
+    return each.select(
+        "gram",
+        F.xxhash64(start("prior", F.col("first")), start("after", LENGTH - F.col("last"))).alias("core"),
+        "ra", "rb", "pos",
+        start("prior", F.col("last")).alias("prior"),
+        start("after", LENGTH - F.col("first")).alias("after"),
+        "first", "last",
+    )
+
+
 def _split(row: DataFrame, frequent: DataFrame) -> DataFrame:
     """Places of frequent grams for each range of offsets whose core repeats: (gram, core, first, last, ra, rb, pos, size)."""
 
