@@ -239,6 +239,27 @@ def test_substring_dedup_of_frequent_passages(spark, monkeypatch):
     assert every.count() <= 5 * anchored
 
 
+def test_substring_dedup_splits_frequent_cores_where_members_differ(spark, monkeypatch):
+    """Members of a passage make about a row for each of its ends, however many they are, and runs of all lengths are exact."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", 8)
+    rng = np.random.default_rng(12)
+    word = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    passage = word(275)
+    texts = [word(180) + passage + word(180) for _ in range(60)]
+    made, parted = [], substring_dedup._parted
+
+    def counted(members, *rest):
+        out = parted(members, *rest)
+        made.append((members.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(substring_dedup, "_parted", counted)
+    check = lambda texts: [tuple(r)[1:] for r in substring_dedup.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).sort("doc_id").collect()] == _covered(texts)
+    assert check(texts)
+    assert made and sum(n for _, n in made) <= 2 * made[0][0]
+    assert check([word(9) + "-" * int(n) + word(9) for n in rng.integers(150, 320, 60)] + [passage[:n] + "=" * 150 + passage[: 275 - n] for n in range(0, 275, 9)])
+
+
 def test_deep_shallow():
     rng = np.random.default_rng(3)
     strings = [bytes(rng.integers(97, 99, rng.integers(0, 90)).tolist()) for _ in range(200)] + [b"a" * n for n in range(150)]

@@ -14,8 +14,9 @@ A gram of very many contexts is split by what stands around it: the 169 offsets
 are four ranges, and all windows of a range share a core of some 158 bytes. Members meet by the core's hash, one
 row a range, and cores that occur once go. Members of a core that is still frequent, and that are equal as far as
 its range's windows reach, cover each other (by 128-bit hashes, counted), and one of them goes on; if too many do, the
-range is split again, so that cores grow until, at one offset, a core is the window itself. Each member has a few rows
-a split, not one a window; this is exact too, and no group is gathered in one task. Texts leave the scan, to be joined with their
+bytes that all of them share (those that the least and the greatest side share) settle the windows within them, and what
+is left of the range below and above those is taken by cores that hold the byte at which members differ, until few meet or, at one offset, a core is the window itself. A member has a row for
+each side of such a passage, not one a window; this is exact too, and no group is gathered in one task. Texts leave the scan, to be joined with their
 contexts or with what is covered, only if a bounded filter lets them through. Equal texts are one text for the search; with
 two or more copies all windows of a text repeat, so it goes whole.
 
@@ -42,9 +43,11 @@ SPAN = LENGTH - GRAM + 1
 #: Depth to which strings are ordered by multikey quicksort, and members of a gram or core that meet in one task (under 1 MB).
 SHALLOW = 64
 BLOCK = 2048
-#: Parts that a frequent gram's window offsets are split into, then each part in turn; (first, last) offset of the first ones.
+#: Parts that a frequent gram's window offsets are split into; (first, last) offset of each.
 PARTS = 4
 RANGES = [(SPAN * i // PARTS, SPAN * (i + 1) // PARTS - 1) for i in range(PARTS)]
+#: Turns in which a range of a frequent core is cut only where its members differ; later ones halve it as well, which bounds their number.
+WHOLE_TURNS = 2
 _WHOLE = 1 << 40
 
 
@@ -402,35 +405,61 @@ def _narrow(sides: DataFrame) -> tuple[DataFrame, DataFrame, list[Staged]]:
     """Of members of frequent cores: what is covered (ra, rb, start, stop), and the members, with longer cores, that are few enough to meet; files to drop then."""
     names = [n for n, _ in _SIDES]
     core, reached = ["gram", "core", "first"], (F.octet_length("prior"), F.octet_length("after"))
-    kept = [Staged(sides)]
-    here, covered, few = kept[0].df, [], []
+    here = Staged(sides)
+    kept, covered, few = [], [], []
     while True:
         extent = F.unhex(F.md5(F.concat(reached[0].cast("string").cast("binary"), F.lit(b":"), "prior", "after")))
-        here = here.withColumn("extent", extent)
+        members = here.df.withColumn("extent", extent)
         one = F.min(F.struct("ra", "rb", "pos")).alias("one")
-        extents = Staged(here.groupBy(*core, "last", "extent").agg(F.count("*").alias("n"), one, F.first("prior").alias("prior"), F.first("after").alias("after")))
-        equal = here.select(*core, "extent", "ra", "rb", "pos", (F.col("pos") - reached[0]).alias("start"), (F.col("pos") + reached[1]).alias("stop"))
+        extents = Staged(members.groupBy(*core, "last", "extent").agg(F.count("*").alias("n"), one, F.first("prior").alias("prior"), F.first("after").alias("after")))
+        equal = members.select(*core, "extent", "ra", "rb", "pos", (F.col("pos") - reached[0]).alias("start"), (F.col("pos") + reached[1]).alias("stop"))
         equal = skewed_lookup(equal.where(F.col("stop") - F.col("start") >= LENGTH), extents.df.where("n > 1").select(*core, "extent", "n"), [*core, "extent"], F.xxhash64("ra", "pos"))
         covered.append(cut(equal.select("ra", "rb", "start", "stop")))
+        here.drop()
         # at one offset the core is the window: what is equal is covered, and nothing else meets
         groups = extents.df.where("first < last").groupBy(*core).agg(F.count("*").alias("n")).where("n > 1").withColumn("size", F.col("n"))
         met = Staged(skewed_lookup(extents.df.select(*core, "last", "one.*", "prior", "after"), groups, core, F.xxhash64("ra", "pos")))
         extents.drop()
         kept.append(met)
         few.append(met.df.where(F.col("size") <= BLOCK).select(*names))
-        many = met.df.where(F.col("size") > BLOCK)
+        many = met.df.where(F.col("size") > BLOCK).drop("size")
         if many.isEmpty():
             break
-        here = _parted(many)
+        many = _with_shared(many, core)
+        shared = many.where(F.col("left") + F.col("right") >= LENGTH)
+        covered.append(cut(shared.select("ra", "rb", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop"))))
+        here = Staged(_parted(many, 1 if len(kept) <= WHOLE_TURNS else 2))
     return reduce(DataFrame.unionByName, covered), reduce(DataFrame.unionByName, few), kept
 
 
-def _parted(members: DataFrame) -> DataFrame:
-    """Members once for each part of their range of offsets that has a core in their text, with that core and sides as far as the part needs them."""
-    edge = lambda i: F.expr(f"first + (last - first + 1) * {i} div {PARTS}").cast("int")
-    parts = F.array(*[F.struct(edge(i).alias("first"), (edge(i + 1) - 1).alias("last")) for i in range(PARTS)])
+def _with_shared(members: DataFrame, core: list[str]) -> DataFrame:
+    """The members with the bytes that all of their core share to the left and right of their anchors: what its least and greatest side share."""
+
+    @F.pandas_udf("int")
+    def alike(a, b):
+        import pandas as pd
+
+        return pd.Series([common(x, y) for x, y in zip(a, b)], dtype="int32")
+
+    ends = members.groupBy(*core).agg(F.count("*").alias("n"), *[f(c).alias(f"{n}_{c}") for c in ("prior", "after") for n, f in (("least", F.min), ("most", F.max))])
+    shared = ends.select(*core, "n", alike("least_prior", "most_prior").alias("left"), alike("least_after", "most_after").alias("right"))
+    return skewed_lookup(members, shared, core, F.xxhash64("ra", "pos"))
+
+
+def _parted(members: DataFrame, pieces: int) -> DataFrame:
+    """Members once for each part of their range of offsets that is open and has a core in their text, with that core and sides as far as the part needs them.
+
+    The windows within what all members share are covered. Those below them reach beyond it to the right and those
+    above to the left, so either part's core holds a byte at which members differ. Each is cut into ``pieces``.
+    """
+    middle = f"greatest(least((first + last) div 2, {LENGTH - 1} - right), left)"
+    low = f"least(greatest(if(left + right >= {LENGTH}, {LENGTH - 1} - right, {middle}), first - 1), last)"
+    high = f"greatest(if(left + right >= {LENGTH}, left, {middle}) + 1, first)"
+    edge = lambda a, b, i: F.expr(f"{a} + ({b} - {a} + 1) * {i} div {pieces}").cast("int")
+    parts = F.array(*[F.struct(edge(a, b, i).alias("first"), (edge(a, b, i + 1) - 1).alias("last")) for a, b in (("first", "low"), ("high", "last")) for i in range(pieces)])
     there = lambda x: (x["first"] <= x["last"]) & (x["first"] <= F.octet_length("prior")) & (LENGTH - x["last"] <= F.octet_length("after"))
-    each = members.withColumn("part", F.explode(F.filter(parts, there))).drop("first", "last", "core").select("*", "part.*").drop("part")
+    open_ = members.withColumns({"low": F.expr(low), "high": F.expr(high)})
+    each = open_.withColumn("part", F.explode(F.filter(parts, there))).drop("first", "last", "core").select("*", "part.*").drop("part")
     start = lambda c, n: F.substring(c, F.lit(1), n)
     return each.select(
         "gram",
