@@ -4,14 +4,17 @@ The vocabulary's rules drop white space and look at nothing beyond it, so the id
 chunks in a row. They also lower every letter, and part a run of stops and commas from a letter or digit before
 it, so ASCII capitals are lowered first, and a new chunk with such a run at its end has the ids of its two parts. A
 worker keeps the chunks it has seen (a bounded number) and hands only new ones to the tokenizer library, those of a
-text in one string. Chunks of ASCII letters alone are one word each, which no rule before the model changes: they are
-parted by white space, and the model's end-of-word ids tell them apart again; the others have a separator between
-them. Added tokens are matched in the raw text, so a text that holds the string of one, in any case, is given to the
-library whole.
+text in one string. Chunks of Latin letters alone (U+017F at most) are one word each, of which the rules before the
+model only lower the letters and spell the bytes: that is done here for all of them at once, they are parted by white
+space, and the model's end-of-word ids tell them apart again. ASCII signs after such a word are a part of their own.
+The other chunks go through the rules, with a separator between them. Added tokens are matched in the raw text, so a text that holds the string of one, in any case, is given to the
+library whole, and so is one in which a capital lowered before NFC might compose with a mark.
 """
 
 from __future__ import annotations
 
+import codecs
+import re
 from array import array
 
 import numpy as np
@@ -22,6 +25,22 @@ END_ID = 1
 #: Stands between chunks; were it part of one, more of its ids would come back than were put in.
 _SEPARATOR = "\x01"
 
+#: A word of Latin letters that NFC leaves alone and that have one lower letter, and the signs after it; an apostrophe may start a part of its own.
+_WORD = re.compile(rb"((?:[a-z]++|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])++)([!-&(-/:-@\[-`{-~]*+)").fullmatch
+
+
+#: Capitals that only compose with a mark (U+0300 to U+033F, which start with byte CC) once they are lowered, after NFC.
+_COMPOSED_WHEN_LOWERED = re.compile(rb"[HJTWY][^\x00-\x7f]").search
+
+
+def _spelling() -> str:
+    """The letter that stands for each byte in a byte-level vocabulary; white space stays, as it parts words here."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
+    return "".join(" " if b == 32 else letters[b] for b in range(256))
+
+
+_SPELLING = _spelling()
 _LOADED: dict[str, "ChunkTokenizer"] = {}
 
 
@@ -62,7 +81,7 @@ class ChunkTokenizer:
         """Ids of the text (a string or its UTF-8 bytes), then the end id; a null text counts as empty."""
         data = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
         low = data.lower()
-        if any(a in low for a in self.added):
+        if any(a in low for a in self.added) or b"\xcc" in low and _COMPOSED_WHEN_LOWERED(data):
             return np.array([*self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, END_ID], "<u2")
         chunks = low.split()
         found = list(map(self.seen.get, chunks))
@@ -74,12 +93,26 @@ class ChunkTokenizer:
             at = [i for i, f in enumerate(found) if f is None]
             lacking = {chunks[i] for i in at}
             fresh = {c for c in lacking if c not in older}
-            parts = {c: two for c in fresh if c.endswith((b".", b",")) and (two := _parted(c))}
-            new = fresh.difference(parts)
-            new.update(x for two in parts.values() for x in two if x not in seen and x not in older)
-            got = {}
-            for words in ([c for c in new if c.isalpha()], [c for c in new if not c.isalpha()]):
-                got.update(zip(words, self._ids_of(words)))
+            words, others, parts = [], [], {}
+            for c in fresh:
+                if c.isalpha():
+                    words.append(c)
+                elif m := _WORD(c):
+                    if m[2]:
+                        parts[c] = m.groups()
+                    else:
+                        words.append(c)
+                elif c.endswith((b".", b",")) and (two := _parted(c)):
+                    parts[c] = two
+                else:
+                    others.append(c)
+            for x in {x for two in parts.values() for x in two if x not in seen and x not in older}.difference(fresh):
+                (words if x.isalpha() or (m := _WORD(x)) and not m[2] else others).append(x)
+            got = dict(zip(words, self._ids_of_words(words)))
+            rare = dict(zip(others, self._ids_of(others)))
+            got.update(rare)
+            # signs after words stay at hand as well
+            seen.update(rare)
             for c in lacking:
                 if (ids := got.get(c)) is None:
                     ids = older.get(c) or b"".join([got.get(x) or seen.get(x) or older.get(x, b"") for x in parts.get(c, ())])
@@ -89,16 +122,24 @@ class ChunkTokenizer:
         packed = b"".join(found)
         return np.frombuffer(packed + END_ID.to_bytes(2, "little"), "<u2")
 
+    def _ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word of Latin letters."""
+        if not words:
+            return []
+        joined = b" ".join(words)
+        if not joined.isascii():
+            joined = joined.decode().lower().encode()
+        ids = np.array(self.words.encode_batch_fast([codecs.charmap_decode(joined, "strict", _SPELLING)[0]], add_special_tokens=False)[0].ids, "<u2")
+        ends = ((np.flatnonzero(self.ends[ids]) + 1) * 2).tolist()
+        if len(ends) != len(words):
+            return self._ids_of(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
     def _ids_of(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of each chunk; all or none of them are of ASCII letters alone."""
+        """The ids of each chunk."""
         words = [c.decode("utf-8", "replace") for c in chunks]
-        if words and chunks[0].isalpha():
-            ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
-            ends = ((np.flatnonzero(self.ends[ids]) + 1) * 2).tolist()
-            if len(ends) == len(words):
-                data = ids.tobytes()
-                return [data[a:b] for a, b in zip([0, *ends], ends)]
-        elif words and len(self.separator) == 1:
+        if words and len(self.separator) == 1:
             ids = np.array(self.chunks.encode_batch_fast([f" {_SEPARATOR} ".join(words)], add_special_tokens=False)[0].ids, "<u2")
             ends = np.flatnonzero(ids == self.separator[0]) * 2
             if len(ends) == len(words) - 1:
