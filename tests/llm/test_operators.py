@@ -239,6 +239,15 @@ def test_substring_dedup_of_frequent_passages(spark, monkeypatch):
     assert every.count() <= 5 * anchored
 
 
+def test_packing_gets_few_texts_at_once(spark, monkeypatch):
+    """Texts reach the tokenizer in small batches, and the setting is as before then."""
+    key, rows, staged = "spark.sql.execution.arrow.maxRecordsPerBatch", [], packing.Staged
+    before = spark.conf.get(key)
+    monkeypatch.setattr(packing, "Staged", lambda *a: rows.append(int(spark.conf.get(key))) or staged(*a))
+    packing.windows_of(docs(spark), 64, None, False)
+    assert rows and max(rows) <= 1000 < int(before) and spark.conf.get(key) == before
+
+
 def test_words_of_latin_letters_skip_the_rules(monkeypatch):
     """Only odd chunks go through the rules before the model, and all ids are the library's."""
     t = tokens.ChunkTokenizer(tokens.word_bpe_path())

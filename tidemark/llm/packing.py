@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.common import Staged, ship
+from tidemark.llm.common import Staged, few_at_once, ship
 
 CAPACITY = 2048
 #: Tasks whose open windows meet.
@@ -137,7 +137,8 @@ def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool)
             yield out()
 
     names = {pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary", longs: "array<long>"}
-    return Staged(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{n} {names[k]}" for n, k in kinds.items())), "full", "zstd")
+    with few_at_once(docs.sparkSession):
+        return Staged(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{n} {names[k]}" for n, k in kinds.items())), "full", "zstd")
 
 
 def placed_again(rows: pd.DataFrame, capacity: int) -> Iterator[list]:
