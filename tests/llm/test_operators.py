@@ -351,3 +351,20 @@ def test_pipeline_keeps_one_of_repeated_rows(spark, tmp_path):
         kept = stage(spark, kept, str(tmp_path))
     texts = sorted(r.text for r in kept.collect())
     assert len(texts) == 6 and all(sum(body(k) in t or (k == 2 and near in t) for t in texts) == 1 for k in range(6))
+
+
+def test_pipeline_stages_begin_with_little_memory(spark, monkeypatch, tmp_path):
+    """Executors collect their garbage before each stage, whose Python workers get few texts at once; the setting is as before then."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    for module, name in ((quality, "keep"), (line_dedup, "dedup"), (near_dup, "keep"), (substring_dedup, "remove"), (packing, "pack")):
+        monkeypatch.setattr(module, name, lambda d, *a, **b: seen.append((whole(), int(spark.conf.get(key)))) or d)
+    first, df = whole(), docs(spark)
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, df, str(tmp_path)) is df and spark.conf.get(key) == before
+    counts = [first, *(n for n, _ in seen)]
+    assert len(seen) == 5 and all(a < b for a, b in zip(counts, counts[1:])) and max(rows for _, rows in seen) <= 1000 < int(before)

@@ -215,12 +215,16 @@ def keep(docs: DataFrame, labels: DataFrame, least: float = 0.5, sample: int = S
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(train(_with_length(docs), labels, sample))
 
-    @F.pandas_udf("double")
-    def scores(text, stored):
+    def run(batches):
         import pandas as pd
 
+        trim()
         of = _scorer(shared.value)
-        return pd.Series([of(t, None if n is None or n != n else int(n)) for t, n in zip(text, stored)], dtype="float64")
+        for text, stored in batches:
+            yield pd.Series([of(t, None if n is None or n != n else int(n)) for t, n in zip(text, stored)], dtype="float64")
+        trim()
+
+    scores = F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
 
     stored = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
     return docs.where(scores(F.col("text"), stored) >= least)
