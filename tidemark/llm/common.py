@@ -66,8 +66,9 @@ def give_back(spark: SparkSession) -> None:
     """Executors collect their garbage and give the heap beyond it back, which they else keep at the most that any step before has taken.
 
     One small task for each core that is at hand, so each executor that is free gets some; calls at once are one
-    collection. Results never depend on it.
+    collection. Results never depend on it. The driver's Python gives back what it no longer needs, too.
     """
+    trim()
     n = spark.sparkContext.defaultParallelism
     spark.range(0, n, 1, n).select(F.call_function("java_method", F.lit("java.lang.System"), F.lit("gc"))).collect()
 
