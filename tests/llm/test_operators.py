@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import embedding_dedup, exact_topk, license_scan, line_dedup, near_dup, packing, quality, sentence_pieces, substring_dedup, tokens, training_order
@@ -265,6 +266,29 @@ def test_words_of_latin_letters_skip_the_rules(monkeypatch):
     assert asked == [b"***"]
 
 
+def test_tokens_are_looked_up_once_a_distinct_chunk(monkeypatch):
+    """Numbers are digits and signs stand apart from words, so few chunks are looked up and kept; ids of many texts at once are the library's."""
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 400, raising=False)
+    t = tokens.ChunkTokenizer(tokens.word_bpe_path())
+    library = lambda w: [*t.tokenizer.encode((w or b"").decode("utf-8", "replace"), add_special_tokens=False).ids, tokens.END_ID]
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+    t.seen = Counted()
+    text = " ".join(f"Wort {i} \u00e9t\u00e9, (wort{i}) {i * i}.{i}%" for i in range(300)).encode()
+    texts = [text, text[:500], None, b"", b"it's <|endoftext|> wort", b"x\xc3", b"\xa9. \xc3\xd7.", "J\u030c. \u2026, \u0391.\u03a3 '-s 1\u0301,\u00bd".encode(), b"\n\t", b" wort\n\n"]
+    assert t.encode(text).tolist() == library(text)
+    assert Counted.asked <= 60 and len(t.seen) <= 60
+    assert [x.tolist() for x in t.encode_all(pa.array([b"q", *texts], pa.binary()).slice(1))] == [library(x) for x in texts]
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 3)
+    assert [x.tolist() for x in t.encode_all(pa.array(texts * 3, pa.large_binary()))] == [library(x) for x in texts * 3]
+
+
 def test_substring_dedup_splits_frequent_cores_where_members_differ(spark, monkeypatch):
     """Members of a passage make about a row for each of its ends, however many they are, and runs of all lengths are exact."""
     monkeypatch.setattr(substring_dedup, "BLOCK", 8)

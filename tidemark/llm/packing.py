@@ -101,6 +101,18 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of ``size`` bytes or more, as far as there are so many."""
+    held = []
+    for b in batches:
+        held.append(b)
+        if sum(x.nbytes for x in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool) -> Staged:
     """The windows of each task, full and open ones apart: (task, number, full, owners, starts, totals, lengths, crcs, ids).
 
@@ -113,7 +125,7 @@ def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool)
     def run(batches):
         from pyspark import TaskContext
 
-        encode, packer, task, rows, number = tokens.tokenizer(path).encode, SquarePacker(capacity), TaskContext.get().partitionId(), [], 0
+        encode, packer, task, rows, number = tokens.tokenizer(path).encode_all, SquarePacker(capacity), TaskContext.get().partitionId(), [], 0
 
         def take(windows, full=True):
             nonlocal number
@@ -127,9 +139,9 @@ def windows_of(docs: DataFrame, capacity: int, path: str | None, with_ids: bool)
             rows.clear()
             return batch
 
-        for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary())):
-                take(packer.add(doc, encode(text.as_py())))
+        for b in gathered(batches, tokens.GROUP_BYTES):
+            for doc, ids in zip(b.column(0).to_pylist(), encode(b.column(1))):
+                take(packer.add(doc, ids))
                 if len(rows) >= 2000:
                     yield out()
         take(packer.windows(), full=False)
